@@ -16,6 +16,7 @@ WHITESPACE = (
     "\\t-\\r\\x1c-\\x20\\x85\\xa0"
     "\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 )
+WHITESPACE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # text standing in for a null cell once the cell is stringified
 NULL_TOKEN = "nan"
 
@@ -47,7 +48,7 @@ def word_count(text: Column) -> Column:
 
 
 def strip_whitespace(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def tokens(clean: Column) -> Column:

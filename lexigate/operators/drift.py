@@ -56,6 +56,18 @@ def _long(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> D
     return unpivot(reference, 0).unionByName(unpivot(current, 1))
 
 
+def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, in_reference, in_current)``: what both statistics start from."""
+    return (
+        _long(reference, current, columns)
+        .groupBy("column", "value")
+        .agg(
+            F.count_if(F.col("side") == 0).alias("in_reference"),
+            F.count_if(F.col("side") == 1).alias("in_current"),
+        )
+    )
+
+
 def value_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Smallest and largest value per column; one scan, one row to the driver."""
     cells = []
@@ -78,33 +90,40 @@ def compute_psi(
     Equal-width buckets over the joint range, one added to every bucket count so that an empty
     bucket stays finite.
     """
-    shared = reference.select(*columns).unionByName(current.select(*columns))
-    bounds = value_bounds(shared, columns)
-    present = [c for c in columns if c in bounds]
+    return _psi(value_counts(reference, current, columns), reference, current, columns, buckets)
+
+
+def _psi(
+    counts: DataFrame,
+    reference: DataFrame,
+    current: DataFrame,
+    columns: Sequence[str],
+    buckets: int,
+) -> DataFrame:
+    bounds = value_bounds(
+        reference.select(*columns).unionByName(current.select(*columns)), columns
+    )
     bucket = F.lit(None).cast("int")
-    for name in present:
+    for name in bounds:
         edges = equal_width_edges(*bounds[name], buckets)
         bucket = F.when(F.col("column") == name, bucket_of(F.col("value"), edges)).otherwise(
             bucket
         )
-    counted = (
-        _long(reference, current, present or columns)
-        .groupBy("column", "side", bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"))
+    counted = counts.groupBy("column", bucket.alias("bucket")).agg(
+        F.sum("in_reference").alias("in_reference"), F.sum("in_current").alias("in_current")
     )
 
-    def bucket_counts(side: int) -> list[Column]:
-        return [
-            F.coalesce(
-                F.sum(F.when((F.col("side") == side) & (F.col("bucket") == i), F.col("n"))),
-                F.lit(0),
-            )
-            for i in range(buckets)
-        ]
+    def bucket_counts(side: str) -> Column:
+        return F.array(
+            *[
+                F.coalesce(F.sum(F.when(F.col("bucket") == i, F.col(side))), F.lit(0))
+                for i in range(buckets)
+            ]
+        )
 
     histograms = counted.groupBy("column").agg(
-        F.array(*bucket_counts(0)).alias("reference"),
-        F.array(*bucket_counts(1)).alias("current"),
+        bucket_counts("in_reference").alias("reference"),
+        bucket_counts("in_current").alias("current"),
     )
 
     def total(counts: str) -> Column:
@@ -143,14 +162,10 @@ def ks_two_sample(
 
     The statistic is exact, the p-value is the asymptotic series.
     """
-    values = (
-        _long(reference, current, columns)
-        .groupBy("column", "value")
-        .agg(
-            F.count_if(F.col("side") == 0).alias("in_reference"),
-            F.count_if(F.col("side") == 1).alias("in_current"),
-        )
-    )
+    return _ks(value_counts(reference, current, columns), rows_per_range)
+
+
+def _ks(values: DataFrame, rows_per_range: int) -> DataFrame:
     totals = values.groupBy("column").agg(
         F.sum("in_reference").alias("n_reference"), F.sum("in_current").alias("n_current")
     )
@@ -199,6 +214,7 @@ def check_drift(
     columns: Sequence[str] | None = None,
     max_psi: float = 0.2,
     buckets: int = 10,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """KS and PSI per column. Only PSI decides ``passed``; KS is there to be read.
 
@@ -207,8 +223,9 @@ def check_drift(
     """
     wanted = list(columns) if columns is not None else numeric_columns(reference)
     wanted = [c for c in wanted if c in current.columns]
-    psi = compute_psi(reference, current, wanted, buckets)
-    ks = ks_two_sample(reference, current, wanted)
+    counts = value_counts(reference, current, wanted)
+    psi = _psi(counts, reference, current, wanted, buckets)
+    ks = _ks(counts, rows_per_range)
     return psi.join(ks, "column").select(
         "column", "ks_statistic", "ks_pvalue", "psi", (F.col("psi") <= max_psi).alias("passed")
     )

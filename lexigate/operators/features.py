@@ -85,7 +85,10 @@ def with_terms(df: DataFrame, text_column: str) -> DataFrame:
 
 
 def scaler_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, mean, scale)``; null counts as 0, population deviation, 0 becomes 1."""
+    """One row: ``n_rows`` and, per column, ``scaling`` of (column, mean, scale).
+
+    A null counts as 0; the deviation is the population's, and 0 becomes 1.
+    """
     cells = []
     for name in columns:
         value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
@@ -97,7 +100,7 @@ def scaler_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
                 F.when(deviation == 0, 1.0).otherwise(deviation).alias("scale"),
             )
         )
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return df.agg(F.count("*").alias("n_rows"), F.array(*cells).alias("scaling"))
 
 
 def scale_column(name: str, mean: float, scale: float) -> Column:
@@ -136,7 +139,8 @@ class TextFeatures(Estimator):
                     self.id_column,
                 ),
             )
-        n_rows = dataset.count()
+        statistics = scaler_statistics(dataset, numeric).first()
+        n_rows = statistics["n_rows"]
         terms = with_terms(dataset, self.text_column)
         learned = vocabulary(
             terms, max_features=self.max_features, min_df=self.min_df, n_rows=n_rows
@@ -145,18 +149,12 @@ class TextFeatures(Estimator):
         rows = sorted(learned.collect(), key=lambda row: row["idx"])
         if not rows:
             raise ValueError("No terms remain after dropping those of fewer rows than min_df")
-        # one row per numeric column
-        scaling = (
-            {r["column"]: r for r in scaler_statistics(dataset, numeric).collect()}
-            if numeric
-            else {}
-        )
         return TextFeaturesModel(
             terms=[row["term"] for row in rows],
             document_frequencies=[row["df"] for row in rows],
             corpus_counts=[row["tf"] for row in rows],
             idf=[row["idf"] for row in rows],
-            scaler=[(name, scaling[name]["mean"], scaling[name]["scale"]) for name in numeric],
+            scaler=[tuple(column) for column in statistics["scaling"]],
             n_rows=n_rows,
             text_column=self.text_column,
             label_column=self.label_column,

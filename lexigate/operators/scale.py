@@ -34,6 +34,19 @@ def bounded_side(side: DataFrame, limit: int = SMALL_SIDE_ROWS) -> DataFrame:
     return F.broadcast(side.sparkSession.createDataFrame(table, schema=side.schema))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table of few, small files to all cores before costly per-row work.
+
+    A file that holds one row group is one task however many cores wait. Only a table with fewer
+    files and fewer splits than cores is moved; a large one is left as it is read. ``df`` must be
+    a plain scan. Rows go by hash of the key, so a retried task sends them the same way.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def range_edges(
     df: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE
 ) -> list[float]:

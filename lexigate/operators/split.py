@@ -132,7 +132,9 @@ def _with_cuts(df: DataFrame, label_column: str, key: Column, targets: DataFrame
     """Add ``__key`` and ``__cuts``, the sorted cut keys of the row's class."""
     keyed = df.withColumn("__key", key)
     cuts = (
-        cut_keys(keyed.select(F.col(label_column).alias("label"), "__key"), targets)
+        cut_keys(
+            keyed.select(F.col(label_column).alias("label"), "__key"), bounded_side(targets)
+        )
         .groupBy("label")
         .agg(F.sort_array(F.collect_list(F.struct("cut", "cut_key"))).alias("__cuts"))
         .select(F.col("label").alias("__label"), F.col("__cuts.cut_key").alias("__cuts"))
@@ -151,7 +153,7 @@ def assign_splits(
     seed: int = 42,
 ) -> DataFrame:
     """Add ``split``: test, validation or train, with exact stratified sizes from one seed."""
-    classes = class_counts(df, label_column)
+    classes = bounded_side(class_counts(df, label_column))
     _check_classes(classes)
     quotas = split_quotas(classes, test_size, validation_size)
     targets = quotas.select(
@@ -203,7 +205,7 @@ def assign_folds(
 
     Class sizes per fold are those of dealing the rows, sorted by label, to the folds in turn.
     """
-    classes = class_counts(df, label_column)
+    classes = bounded_side(class_counts(df, label_column))
     _check_classes(classes, folds)
     # one row per class
     start = F.coalesce(

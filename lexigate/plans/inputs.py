@@ -10,9 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexigate.operators.scale import spread
+
+
+# tables on which much is done per row, and what to spread them by
+SPREAD_KEYS = {
+    "documents": "doc_id",
+    "lineitem": "l_orderkey",
+    "pages": "page_id",
+    "conversations": "conv_id",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(frame, SPREAD_KEYS[name]) if name in SPREAD_KEYS else frame
 
 
 def hex_digit(digest: str, position: int) -> str:
@@ -51,7 +63,7 @@ LOG_COLUMNS = (
     "ts",
     "event_type as prediction",
     "value as latency_ms",
-    "length(props) as text_length",
+    "cast(length(props) as int) as text_length",
 )
 REGISTRY_COLUMNS = (
     "case when user_id % 50 = 13 then 'team/model' "
