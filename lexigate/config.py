@@ -43,6 +43,8 @@ class ModelConfig:
 class TrainingConfig:
     cv_folds: int = 5
     scoring: str = "f1_weighted"
+    # folds fitted side by side; each keeps its own copy of the training blocks
+    parallelism: int = 5
 
 
 @dataclass(frozen=True)

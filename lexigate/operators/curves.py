@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigate.operators.metrics import ratio
-from lexigate.operators.scale import ROWS_PER_RANGE, running
+from lexigate.operators.scale import ROWS_PER_RANGE, range_edges, running
 
 # fixed value: stands for the threshold above every score
 TOP_THRESHOLD = 1e9
@@ -39,7 +39,7 @@ def score_table(
         ["score"],
         sums={"pos_upto": F.col("pos"), "neg_upto": F.col("neg")},
         last_before={"below": F.struct("score", "pos", "neg")},
-        rows_per_range=rows_per_range,
+        edges=range_edges(df, score, rows_per_range),
     )
     return ranked.withColumn("__t", totals.select(F.struct("p", "n")).scalar()).select(
         "score",

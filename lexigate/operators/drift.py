@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigate.operators.scale import ROWS_PER_RANGE, running
+from lexigate.operators.scale import ROWS_PER_RANGE, range_edges, running
 
 KS_SERIES_TERMS = 100
 
@@ -162,10 +162,11 @@ def ks_two_sample(
 
     The statistic is exact, the p-value is the asymptotic series.
     """
-    return _ks(value_counts(reference, current, columns), rows_per_range)
+    edges = range_edges(_long(reference, current, columns), "value", rows_per_range)
+    return _ks(value_counts(reference, current, columns), edges)
 
 
-def _ks(values: DataFrame, rows_per_range: int) -> DataFrame:
+def _ks(values: DataFrame, edges: Sequence[float]) -> DataFrame:
     totals = values.groupBy("column").agg(
         F.sum("in_reference").alias("n_reference"), F.sum("in_current").alias("n_current")
     )
@@ -174,7 +175,7 @@ def _ks(values: DataFrame, rows_per_range: int) -> DataFrame:
         ["value"],
         sums={"upto_reference": F.col("in_reference"), "upto_current": F.col("in_current")},
         keys=["column"],
-        rows_per_range=rows_per_range,
+        edges=edges,
     )
     # totals has one row per column of the schema
     gap = F.abs(
@@ -225,7 +226,8 @@ def check_drift(
     wanted = [c for c in wanted if c in current.columns]
     counts = value_counts(reference, current, wanted)
     psi = _psi(counts, reference, current, wanted, buckets)
-    ks = _ks(counts, rows_per_range)
+    edges = range_edges(_long(reference, current, wanted), "value", rows_per_range)
+    ks = _ks(counts, edges)
     return psi.join(ks, "column").select(
         "column", "ks_statistic", "ks_pvalue", "psi", (F.col("psi") <= max_psi).alias("passed")
     )

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigate.operators.scale import ROWS_PER_RANGE, running
+from lexigate.operators.scale import ROWS_PER_RANGE, bounded_side, range_edges, running
 
 # fixed values
 STAGES = ("none", "staging", "production", "archived")
@@ -69,7 +69,7 @@ def judge_events(events: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Dat
             "__requested": F.when(promotes, place),
         },
         keys=["model", "version"],
-        rows_per_range=rows_per_range,
+        edges=range_edges(events, ORDER[0], rows_per_range),
     )
     settled_at = F.struct(*[F.col(f"__settled.{name}").alias(name) for name in ORDER])
     in_staging = (F.col("__settled.new_stage") == "staging") & (
@@ -124,7 +124,7 @@ def registry_state(events: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
         ["registered_at", "registration"],
         sums={"version_number": F.lit(1).cast("bigint")},
         keys=["model"],
-        rows_per_range=rows_per_range,
+        edges=range_edges(events, ORDER[0], rows_per_range),
     )
     return numbered.select(
         "model",
@@ -160,6 +160,6 @@ def serving_eligibility(requested: DataFrame, state: DataFrame) -> DataFrame:
         .when(F.col("stage") != "production", "not_production")
         .otherwise("eligible")
     )
-    return requested.join(entries, "bundle_path", "left").select(
+    return requested.join(bounded_side(entries), "bundle_path", "left").select(
         *requested.columns, status.alias("status")
     )

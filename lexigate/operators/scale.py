@@ -42,7 +42,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     a plain scan. Rows go by hash of the key, so a retried task sends them the same way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= 2 * cores:
+    if df.rdd.getNumPartitions() >= 2 * cores or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, key)
 
@@ -53,16 +53,18 @@ def range_edges(
     """Values that cut ``column`` into ranges of about ``rows_per_range`` rows; [] for one range.
 
     Edges come from a quantile sketch, so they are approximate; they only affect how even the
-    ranges are, never a result.
+    ranges are, never a result. Ask this of the rows as they are read: a count and a sketch of
+    one column shuffle nothing, and ranges that are even over the rows hold no more distinct
+    values than rows.
     """
-    ranges = min(MAX_RANGES, math.ceil(df.select(F.count(column)).first()[0] / rows_per_range))
+    ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
     if ranges <= 1:
         return []
     shares = [i / ranges for i in range(1, ranges)]
     edges = df.select(
-        F.percentile_approx(F.col(column).cast("double"), shares, max(10_000, 20 * ranges))
+        F.percentile_approx(_position(column, df), shares, max(10_000, 20 * ranges))
     ).first()[0]
-    return sorted(set(edges))
+    return sorted(set(edges or ()))
 
 
 def running(
@@ -71,10 +73,13 @@ def running(
     sums: Mapping[str, Column] | None = None,
     last_before: Mapping[str, Column] | None = None,
     keys: Sequence[str] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
+    edges: Sequence[float] = (),
 ) -> DataFrame:
     """Add running values in the order of ``order_by`` within ``keys``.
 
+    ``edges`` are what ``range_edges`` gives for the first order column; without any there is one
+    range per key.
+
     ``sums``: running total, the row itself included. ``last_before``: largest non-null value
     over the strictly earlier rows; pass a struct that starts with the order columns to get "the
     latest earlier row such that". The first order column must be a number or a timestamp without
@@ -85,19 +90,17 @@ def running(
     inputs = {f"__in_{name}": expr for name, expr in {**sums, **last_before}.items()}
     data = df.withColumns(inputs) if inputs else df
 
-    ranking = df.withColumn("__position", _position(order_by[0], df))
-    edges = range_edges(ranking, "__position", rows_per_range)
-    data = data.withColumn("__position", _position(order_by[0], df))
     if edges:
+        data = data.withColumn("__position", _position(order_by[0], df))
         data = Bucketizer(
             splits=[-math.inf, *edges, math.inf],
             inputCol="__position",
             outputCol="__range",
             handleInvalid="keep",
         ).transform(data)
+        data = data.drop("__position")
     else:
         data = data.withColumn("__range", F.lit(0.0))
-    data = data.drop("__position")
 
     within = Window.partitionBy(*keys, "__range").orderBy(*order_by)
     up_to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -165,17 +168,17 @@ def exact_percentiles(
     names a column with the number of rows each row stands for.
     """
     one = F.col(weight) if weight else F.lit(1)
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__value"))
-        .agg(F.sum(one).cast("long").alias("__n"))
+    present = df.filter(F.col(value).isNotNull())
+    edges = range_edges(present, value, rows_per_range)
+    counted = present.groupBy(*keys, F.col(value).cast("double").alias("__value")).agg(
+        F.sum(one).cast("long").alias("__n")
     )
     ranked = running(
         counted,
         ["__value"],
         sums={"__upto": F.col("__n")},
         keys=keys,
-        rows_per_range=rows_per_range,
+        edges=edges,
     )
     totals = counted.groupBy(*keys).agg(
         F.sum("__n").alias("n"),

@@ -401,7 +401,10 @@ def drift_report(spark, sf):
 
 
 def _fitted(spark, sf):
-    train, validation, test = split.three_way_split(derived(spark, sf))
+    """Features of the three splits; the derived rows are written once and read back."""
+    path = scratch.new_path(spark, "derived")
+    derived(spark, sf).write.parquet(path)
+    train, validation, test = split.three_way_split(spark.read.parquet(path))
     model = features.TextFeatures().fit(train)
     wanted = ("row_id", "sentiment", "features")
     return model, *[model.transform(part).select(*wanted) for part in (train, validation, test)]
