@@ -13,8 +13,6 @@ from lexigate.operators.gate import REQUIRED_CHECKS
 
 # type names as VARIANT reports them
 NUMBER = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-# a JSON true is a whole number where records are made and checked, so it is one here
-WHOLE = r"^(BIGINT|BOOLEAN|DECIMAL\(\d+,0\))$"
 # an unescaped quote that opens a value (not a key) starting with a slash
 ABSOLUTE_PATH = r'(?<!\\)"(?:/|\\/|\\u002[fF])(?:[^"\\]|\\.)*+"(?!\s*:)'
 
@@ -64,6 +62,15 @@ def _is(document: Column, path: str, pattern: str) -> Column:
     return _kind(document, path).rlike(pattern)
 
 
+def _is_whole(json: str, document: Column, path: str) -> Column:
+    """A number spelled without point or exponent; 42.0 is not one, and VARIANT hides that.
+
+    A JSON true counts as whole for whoever writes these records, so it does here.
+    """
+    spelled_whole = F.get_json_object(json, path).rlike(r"^-?\d+$")
+    return _is(document, path, "^BOOLEAN$") | (_is(document, path, NUMBER) & spelled_whole)
+
+
 def _filled_string(document: Column, path: str) -> Column:
     return (_kind(document, path) == "STRING") & (
         F.coalesce(F.length(F.try_variant_get(document, path, "string")), F.lit(0)) > 0
@@ -95,7 +102,7 @@ def audit_lineage(records: DataFrame, lineage: str = "lineage") -> DataFrame:
         ("dataset_key", _filled_string(document, "$.dataset.key")),
         ("dataset_license", _filled_string(document, "$.dataset.license")),
         ("split", _is(document, "$.split", "^OBJECT")),
-        ("random_state", _is(document, "$.split.random_state", WHOLE)),
+        ("random_state", _is_whole(lineage, document, "$.split.random_state")),
         (
             "test_size",
             _is(document, "$.split.test_size", NUMBER) & (test_size > 0) & (test_size < 1),
