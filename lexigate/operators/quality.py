@@ -18,8 +18,6 @@ from lexigate.functions.hashing import row_digest
 
 logger = logging.getLogger(__name__)
 
-REPORT_COLUMNS = ("check", "column", "value", "threshold", "passed")
-
 
 class DataValidationError(RuntimeError):
     """Input data failed a blocking quality check."""
@@ -32,9 +30,40 @@ def _share(part, whole):
     )
 
 
-def _within(value, threshold: float):
-    """``value <= threshold`` where NaN is not within anything (Spark sorts NaN last)."""
-    return ~F.isnan(value) & (value <= F.lit(float(threshold)))
+def _row(check: str, column: str | None, value, threshold: float, passed):
+    return F.struct(
+        F.lit(check).alias("check"),
+        F.lit(column).cast("string").alias("column"),
+        value.alias("value"),
+        F.lit(float(threshold)).alias("threshold"),
+        passed.alias("passed"),
+    )
+
+
+def _null_rows(columns: Sequence[str], threshold: float) -> list:
+    """From ``__n`` rows and, under each column's name, its nulls."""
+    rows = []
+    for name in columns:
+        value = _share(F.col(name), F.col("__n"))
+        rows.append(
+            _row("null_check", name, value, threshold, F.isnan(value) | (value <= threshold))
+        )
+    return rows
+
+
+def _duplicate_row(threshold: float):
+    value = _share(F.col("__n") - F.col("__distinct"), F.col("__n"))
+    return _row("duplicate_check", None, value, threshold, ~F.isnan(value) & (value <= threshold))
+
+
+def _balance_row(threshold: float):
+    value = _share(F.col("__smallest"), F.col("__labelled"))
+    return _row("class_balance", None, value, threshold, ~F.isnan(value) & (value >= threshold))
+
+
+def _report(summary: DataFrame, rows: list) -> DataFrame:
+    """The check rows of a one-row summary."""
+    return summary.select(F.inline(F.array(*rows)))
 
 
 def check_nulls(df: DataFrame, max_null_pct: float = 0.05) -> DataFrame:
@@ -46,24 +75,12 @@ def check_nulls(df: DataFrame, max_null_pct: float = 0.05) -> DataFrame:
         F.count("*").alias("__n"),
         *[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns],
     )
-    return _null_rows(counts, df.columns, max_null_pct)
-
+    return _report(counts, _null_rows(df.columns, max_null_pct))
 
-def _null_rows(counts: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
-    cells = F.array(
-        *[F.struct(F.lit(name).alias("column"), F.col(name).alias("nulls")) for name in columns]
-    )
-    value = _share(F.col("cell.nulls"), F.col("__n"))
-    return counts.select("__n", F.explode(cells).alias("cell")).select(
-        F.lit("null_check").alias("check"),
-        F.col("cell.column").alias("column"),
-        value.alias("value"),
-        F.lit(float(threshold)).alias("threshold"),
-        (F.isnan(value) | (value <= F.lit(float(threshold)))).alias("passed"),
-    )
 
-
-def check_duplicates(df: DataFrame, max_dup_pct: float = 0.10, exclude: Sequence[str] = ()):
+def check_duplicates(
+    df: DataFrame, max_dup_pct: float = 0.10, exclude: Sequence[str] = ()
+) -> DataFrame:
     """Share of rows that repeat an earlier row in every column; nulls are equal.
 
     An empty table has a NaN share, which is not within the threshold, so it fails.
@@ -73,18 +90,7 @@ def check_duplicates(df: DataFrame, max_dup_pct: float = 0.10, exclude: Sequence
     counts = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("__n"), F.count("*").alias("__distinct")
     )
-    return _duplicate_rows(counts, max_dup_pct)
-
-
-def _duplicate_rows(counts: DataFrame, threshold: float) -> DataFrame:
-    value = _share(F.col("__n") - F.col("__distinct"), F.col("__n"))
-    return counts.select(
-        F.lit("duplicate_check").alias("check"),
-        F.lit(None).cast("string").alias("column"),
-        value.alias("value"),
-        F.lit(float(threshold)).alias("threshold"),
-        _within(value, threshold).alias("passed"),
-    )
+    return _report(counts, [_duplicate_row(max_dup_pct)])
 
 
 def class_distribution(df: DataFrame, label_column: str) -> DataFrame:
@@ -110,18 +116,7 @@ def check_class_balance(df: DataFrame, label_column: str, min_ratio: float = 0.1
     smallest = counts.agg(
         F.min("n").alias("__smallest"), F.coalesce(F.sum("n"), F.lit(0)).alias("__labelled")
     )
-    return _balance_rows(smallest, min_ratio)
-
-
-def _balance_rows(smallest: DataFrame, threshold: float) -> DataFrame:
-    value = _share(F.col("__smallest"), F.col("__labelled"))
-    return smallest.select(
-        F.lit("class_balance").alias("check"),
-        F.lit(None).cast("string").alias("column"),
-        value.alias("value"),
-        F.lit(float(threshold)).alias("threshold"),
-        (~F.isnan(value) & (value >= F.lit(float(threshold)))).alias("passed"),
-    )
+    return _report(smallest, [_balance_row(min_ratio)])
 
 
 def run_all_checks(
@@ -159,19 +154,20 @@ def run_all_checks(
         F.coalesce(F.sum(labelled), F.lit(0)).alias("__labelled"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in columns],
     )
-    report = _null_rows(summary, columns, rules.max_null_pct).unionByName(
-        _duplicate_rows(summary, rules.max_duplicate_pct)
-    )
+    checks = [*_null_rows(columns, rules.max_null_pct), _duplicate_row(rules.max_duplicate_pct)]
     if has_label:
-        report = report.unionByName(_balance_rows(summary, rules.min_class_ratio))
-    overall = report.agg(F.bool_and("passed").alias("passed")).select(
+        checks.append(_balance_row(rules.min_class_ratio))
+    overall = F.forall("checks", lambda check: check["passed"])
+    last = F.struct(
         F.lit("overall").alias("check"),
         F.lit(None).cast("string").alias("column"),
         F.lit(None).cast("double").alias("value"),
         F.lit(None).cast("double").alias("threshold"),
-        "passed",
+        overall.alias("passed"),
+    )
+    return summary.select(F.array(*checks).alias("checks")).select(
+        F.inline(F.concat("checks", F.array(last)))
     )
-    return report.unionByName(overall)
 
 
 def enforce_validation(report: DataFrame, on_failure: str = "warn") -> None:

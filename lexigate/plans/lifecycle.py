@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexigate import scratch
 from lexigate.config import Config
 from lexigate.operators import curves as cv
+from lexigate.operators.audits import audit_dimensions
 from lexigate.operators.derive import add_derived_columns
 from lexigate.operators.features import TextFeatures, TextFeaturesModel
 from lexigate.operators.fingerprint import data_fingerprint
@@ -125,6 +126,7 @@ def train_candidate(prepared: Prepared, config: Config, provenance: dict[str, st
             "numeric_columns": features.numeric,
             "text_column": data.text_column,
         },
+        "feature_dimension": features.dimension,
         "model_type": config.model.type,
         "split": {
             "random_state": data.random_state,
@@ -136,6 +138,25 @@ def train_candidate(prepared: Prepared, config: Config, provenance: dict[str, st
     return Candidate(features, classifier, metrics, lineage)
 
 
+def dimension_record(spark: SparkSession, candidate: Candidate) -> DataFrame:
+    """One row for ``audit_dimensions``, from the fitted parts themselves."""
+    features = candidate.features
+    return spark.createDataFrame(
+        [
+            (
+                len(features.terms),
+                len(candidate.lineage["feature_schema"]["numeric_columns"]),
+                len(features.scaler) or None,
+                candidate.lineage["feature_dimension"],
+                features.metadata()["total_features"],
+                candidate.classifier.dimension,
+            )
+        ],
+        "tfidf_dim int, n_numeric int, scaler_dim int, expected_dim int, metadata_total int, "
+        "model_dim int",
+    )
+
+
 def _splits(frame: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
     data = config.data
     return three_way_split(
@@ -187,8 +208,11 @@ def evaluate_candidate(
         ),
     )
     label = recorded.data.label_column
-    _, _, test = _splits(prepared.frame, recorded)
     spark = prepared.frame.sparkSession
+    broken = audit_dimensions(dimension_record(spark, candidate)).first()["violation"]
+    if broken:
+        raise LineageMismatch(f"Features and model of the candidate disagree: {broken}")
+    _, _, test = _splits(prepared.frame, recorded)
     path = scratch.new_path(spark, "scored")
     candidate.classifier.score(candidate.features.transform(test)).select(
         recorded.data.id_column, label, "prediction", "confidence", "score"

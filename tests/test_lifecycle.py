@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigate.config import Config, DataConfig, DataRules, GateRules, ModelConfig, TrainingConfig
+from lexigate.operators.audits import audit_gate_reports, audit_lineage
 from lexigate.operators.features import TextFeaturesModel
 from lexigate.operators.quality import DataValidationError
 from lexigate.plans import lifecycle
@@ -44,6 +45,21 @@ def test_a_run_on_the_fixture_passes(spark, latencies, tmp_path):
     report = evaluation.report.first()
     assert report["evaluation_status"] == "passed"
     assert report["data_hash"] == candidate.lineage["data_hash"]
+    # what a run records stands up to the audits
+    records = evaluation.report.select(
+        F.to_json(F.struct("*")).alias("report"), F.col("data_hash").alias("lineage_hash")
+    )
+    assert audit_gate_reports(records).first()["violation"] is None
+    lineage = spark.createDataFrame([(json.dumps(candidate.lineage),)], "lineage string")
+    assert audit_lineage(lineage).first()["violation"] is None
+
+
+def test_a_model_of_another_dimension_is_refused(spark, latencies):
+    prepared = lifecycle.prepare(synthetic_reviews(spark, 100), CONFIG)
+    candidate = lifecycle.train_candidate(prepared, CONFIG, synthetic_provenance(100, 42))
+    candidate.features.terms = candidate.features.terms[:-1]
+    with pytest.raises(lifecycle.LineageMismatch, match="transformer_dimension"):
+        lifecycle.evaluate_candidate(prepared, candidate, CONFIG, latencies)
 
 
 def test_an_unreachable_threshold_blocks_and_is_reported(spark, latencies):
