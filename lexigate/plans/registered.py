@@ -19,8 +19,6 @@ from lexigate.sources import csv_source, labelled_lines, provenance, sinks, synt
 from lexigate.streaming import prediction_log as streams
 from lexigate.streaming import scoring
 
-# Registered models are fitted on a small labelled table, where the documented gate would refuse
-# the data for its class balance or not; the report is returned either way.
 RUN = reference_config()
 COMPUTED = lifecycle.computed_columns("review_text")
 
@@ -54,7 +52,8 @@ def derived(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def before_after(df: DataFrame, column: str, cut: datetime.datetime) -> tuple[DataFrame, DataFrame]:
-    moment = F.lit(cut).cast("timestamp_ntz")
+    # by way of text: a timestamp literal would shift with the session time zone
+    moment = F.lit(str(cut)).cast("timestamp_ntz")
     return df.filter(F.col(column) < moment), df.filter(F.col(column) >= moment)
 
 
