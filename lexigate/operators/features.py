@@ -277,12 +277,6 @@ class TextFeaturesModel(Model):
             "__idx", "__weights"
         )
 
-    def scaled(self, df: DataFrame, id_column: str = "row_id") -> DataFrame:
-        return df.select(
-            id_column,
-            *[scale_column(name, mean, scale).alias(name) for name, mean, scale in self.scaler],
-        )
-
     def save(self, path: str, spark: SparkSession) -> None:
         """Write the fitted state as two tables and a metadata record."""
         self.vocabulary_table(spark).write.mode("errorifexists").parquet(f"{path}/vocabulary")

@@ -256,7 +256,11 @@ def tfidf_transform(spark, sf):
 def scaled_numeric(spark, sf):
     rows = derived(spark, sf)
     train, _, _ = split.three_way_split(rows)
-    return rounded(features.TextFeatures().fit(train).scaled(rows))
+    numbers = drift.numeric_columns(train, exclude=["row_id"])
+    scaling = features.scaler_statistics(train, numbers).first()["scaling"]
+    return rounded(
+        rows.select("row_id", *[features.scale_column(*c).alias(c["column"]) for c in scaling])
+    )
 
 
 def leakage_terms(spark, sf):
