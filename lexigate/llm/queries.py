@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigate.llm import decontaminate, mixing, quality, secrets, simhash
+from lexigate.llm import decontaminate, lattice, mixing, mtree, pii, quality, secrets, simhash, suffixes, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 QUALITY_LEAST = 0.3
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -27,12 +32,31 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= QUALITY_LEAST).cast("int"))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated(table(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.private_spans(F.col("text"), pii.train(docs))
+    return docs.select("doc_id", found.alias("s")).select("doc_id", "s.*")
+
+
+def op5_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.likelihoods(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"))
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mtree.top_k(table(spark, sf_dir, "embeddings"))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -60,5 +84,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality, op6_simhash, op8_decontamination, op9_source_mix, op10_secret_scan)
+    f.__name__: f for f in (op1_warc, op2_quality, op3_repeated_passages, op4_pii, op5_likelihood, op6_simhash, op7_topk, op8_decontamination, op9_source_mix, op10_secret_scan)
 }
