@@ -36,7 +36,7 @@ FILTER_BITS = 1 << 24  # 2 MB sent to every task
 
 WINDOWS = "item_id bigint, window string, n int, size int, shingles array<bigint>"
 HITS = (
-    "doc_id bigint, n_words bigint,"
+    "doc_id bigint, text_key bigint, n_words bigint,"
     " runs array<struct<run: int, first: int, words: array<string>>>,"
     " hits array<struct<run: int, at: int, shingle: bigint>>"
 )
@@ -168,18 +168,23 @@ def document_hits(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, rows).cast(pa.int64()),
+                        batch.column("text_key").slice(row, rows),
                         pa.array(np.diff(edges), pa.int64()),
                         pa.array(runs, pa.list_(_RUN)),
                         pa.array(hits, pa.list_(_HIT)),
                     ],
-                    names=["doc_id", "n_words", "runs", "hits"],
+                    names=["doc_id", "text_key", "n_words", "runs", "hits"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(find, HITS)
+    key = F.xxhash64("text").alias("text_key")
+    return docs.select("doc_id", key, "text").mapInArrow(find, HITS)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document row: ``row_key, doc_id, n_words, n_hit, n_items, item_ids`` (sorted strings)."""
+    """Per document row: ``doc_id, n_words, n_hit, n_items, item_ids`` (sorted strings).
+
+    ``text_key`` is the hash of the text, on which alone the rest depends.
+    """
     spark = docs.sparkSession
     path = new_path(spark, "benchmark-windows")
     item_windows(items, window).write.parquet(path)
@@ -243,15 +248,21 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
     none = F.array().cast("array<string>")
     return (
-        marked.select("row_key", "doc_id", "n_words")
+        marked.select("row_key", "doc_id", "text_key", "n_words")
         .join(covered, "row_key", "left")
         .join(occurring, "row_key", "left")
         .select(
-            "row_key",
             "doc_id",
+            "text_key",
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.size(F.coalesce("item_ids", none)).cast("long").alias("n_items"),
             F.coalesce("item_ids", none).alias("item_ids"),
         )
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in whose text no item's window stands, with all their columns."""
+    hit = contamination(docs, items).filter("n_hit > 0").select("text_key").distinct()
+    return docs.join(hit, F.xxhash64(docs["text"]) == hit["text_key"], "left_anti")

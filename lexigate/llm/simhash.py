@@ -19,7 +19,7 @@ names a class only if the class has no other id; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -354,20 +354,50 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
             return current
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """``doc_id, fingerprint`` (long) and ``component_id``, the smallest id reachable by links."""
+def classes(docs: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows (``row_key, doc_id, fingerprint``, and ``keep`` in a struct ``row``) and their classes.
+
+    The classes table tells, per distinct fingerprint, its class's ``component_id`` and the
+    ``row_key`` of the class's first row: smallest doc_id (null last), then place.
+    """
     spark = docs.sparkSession
-    path = new_path(spark, "simhash")
-    docs.select("doc_id", fingerprint(F.col("text")).alias("fingerprint")).write.parquet(path)
-    marked = spark.read.parquet(path)
-    prints = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-    path = new_path(spark, "simhash-distinct")
-    prints.write.parquet(path)
-    prints = spark.read.parquet(path)
+
+    def written(frame: DataFrame, name: str) -> DataFrame:
+        path = new_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    kept = [F.struct(*[F.col(f"`{name}`") for name in keep]).alias("row")] if keep else []
+    marked = written(
+        docs.select("doc_id", fingerprint(F.col("text")).alias("fingerprint"), *kept).withColumn(
+            "row_key", F.monotonically_increasing_id()
+        ),
+        "simhash",
+    )
+    first = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "row_key")
+    prints = written(
+        marked.groupBy("fingerprint").agg(F.min(first).alias("first")), "simhash-distinct"
+    )
     roots = smallest_reachable(links(prints))
     rooted = prints.join(
         roots.withColumnsRenamed({"a": "fingerprint", "b": "root"}), "fingerprint", "left"
     ).withColumn("root", F.coalesce("root", "fingerprint"))
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(ids, "root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return marked, rooted.select("fingerprint", "root").join(firsts, "root").select(
+        "fingerprint",
+        F.col("first.doc_id").alias("component_id"),
+        F.col("first.row_key").alias("first_row"),
+    )
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint`` (long) and ``component_id``, the smallest id reachable by links."""
+    marked, by_print = classes(docs)
+    return marked.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The first row of every class, with all columns of ``docs``."""
+    marked, by_print = classes(docs, docs.columns)
+    chosen = by_print.select(F.col("first_row").alias("row_key")).distinct()
+    return marked.join(chosen, "row_key", "left_semi").select("row.*")
