@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from lexigate.scratch import new_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-RANGES = 2048  # of the seeded hash, per source
-RANGE_BITS = 11
+RANGE_DIGITS = 3  # hash digits, two values to a range: 2048 ranges per source
 
 
 def words_in(text: Column) -> Column:
@@ -84,7 +83,9 @@ def mix(
     ``weights`` go to the sources by name, repeating. Sizes and hashes are written once to the
     shared folder, with ``row``, and every later step reads them there.
     """
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    text, number = F.coalesce("text", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), number, F.md5(text)))
+    digits = F.conv(F.substring("key", 1, RANGE_DIGITS), 16, 10).cast("int")
     sized = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in keep]).alias("row"),
         F.col("doc_id").alias("tie"),
@@ -92,8 +93,7 @@ def mix(
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("source_key"),
         words_in(F.col("text")).alias("size"),
         key.alias("key"),
-        F.shiftrightunsigned(key, 64 - RANGE_BITS).alias("range"),
-    )
+    ).withColumn("range", F.shiftright(digits, 1))
     path = new_path(docs.sparkSession, "mix")
     sized.write.parquet(path)
     sized = docs.sparkSession.read.parquet(path)

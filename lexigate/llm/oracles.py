@@ -74,16 +74,16 @@ with dw as (
 ), sizes as (
     select distinct n from windows
 ), places as (
-    select doc_id, n, unnest(range(1, len(w) - n + 2)) as at,
+    select doc_id, n, unnest(range(1, len(w) - n + 2)) as pos,
         unnest(list_transform(range(1, len(w) - n + 2),
             lambda i: list_aggregate(w[i:i + n - 1], 'string_agg', ' '))) as body
     from dw, sizes where len(w) >= n
 ), found as (
-    select p.doc_id, p.at, p.n, x.item_id
+    select p.doc_id, p.pos, p.n, x.item_id
     from places p join windows x on p.body = x.body and p.n = x.n
 ), hit as (
     select doc_id, count(*) as n_hit from (
-        select distinct doc_id, unnest(range(at, at + n)) as word from found
+        select distinct doc_id, unnest(range(pos, pos + n)) as word from found
     ) group by doc_id
 ), items as (
     select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed from (
@@ -96,11 +96,11 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as
 from dw d left join hit using (doc_id) left join items using (doc_id)
 """
 
-# What a document gives beyond whole repetitions hangs on Spark's XXH64 order, so sizes and targets
-# are compared here, and what is taken against a plain version in the tests.
-SOURCE_TARGETS = r"""
+SOURCE_MIX = r"""
 with d as (
-    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+    select doc_id, source,
+        md5('20240601:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key,
+        cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
     from documents
 ), s as (
     select source, cast(sum(size) as bigint) as source_size from d group by source
@@ -124,13 +124,24 @@ with d as (
     select source, source_size, case when turn >= first
         then max(case when turn = first then level end) over () * weight else cap end as target
     from f
+), e as (
+    select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as epochs
+    from t
+), b as (
+    select d.doc_id, d.size, e.source_size, e.target, e.epochs,
+        cast(round(e.target) as bigint) - e.epochs * e.source_size as rest,
+        sum(d.size) over (partition by d.source order by d.key, d.doc_id, d.size
+            rows between unbounded preceding and current row) - d.size as begins
+    from d join e on d.source is not distinct from e.source
 )
-select d.doc_id, d.size, t.source_size, t.target
-from d join t on d.source is not distinct from t.source
+select doc_id, size, source_size, target,
+    cast(epochs * size + least(size, greatest(0, rest - begins)) as bigint) as taken
+from b
 """
 
 ORACLES = {
     "op1_warc": WARC,
     "op7_topk": TOP_K,
     "op8_decontamination": DECONTAMINATION,
+    "op9_source_mix": SOURCE_MIX,
 }
