@@ -250,11 +250,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     unique = marked.join(texts.select("row_key"), "row_key", "left_semi").select(
         "text_key", F.inline("anchors")
     )
-    shared = (
+    # written, so that the join deals both its sides itself and a very common run can be split
+    shared = written(
         unique.groupBy("run")
         .agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
         .filter("a <> b")
-        .select("run")
+        .select("run"),
+        "shared-runs",
     )
     places = (
         unique.join(shared, "run")
