@@ -38,7 +38,7 @@ SCALE = 64
 LARGEST = 1 << 26
 SUBTREE = 4096
 CELLS = 1024  # routing vectors in the root page, at most
-FANOUT, PAGE = 16, 256
+FANOUT, PAGE = 16, 512
 QUERY_BLOCK = 4096
 SLACK = 1e-9  # of a squared distance, relative
 
@@ -121,6 +121,7 @@ class Subtree:
                     np.frombuffer(row["ids"], np.int64),
                     np.frombuffer(row["row_keys"], np.int64),
                     np.frombuffer(row["entry_distances"]),
+                    float(np.abs(vectors, dtype=np.float64).max(initial=0)),
                 )
             self.pages[row["node"]] = page
         self.sphere = sphere
@@ -147,6 +148,7 @@ class Subtree:
 
         limit = reach(beat)
         best = (np.zeros(0, np.int64),) * 3
+        largest = float(np.abs(query).max(initial=0))
         root = self.children[-1][0]
         at = float(np.sqrt(((point - self.pages[root][2]) ** 2).sum()))
         queue = [(max(0.0, at - self.pages[root][0]), root, at)]
@@ -162,10 +164,19 @@ class Subtree:
                     if d - radii[i] <= limit:
                         heapq.heappush(queue, (max(0.0, d - radii[i]), under[i], d))
                 continue
-            _, _, _, vectors, ids, keys, steps = self.pages[node]
-            able = np.flatnonzero((np.abs(at - steps) <= limit) & (keys != own))
-            scores = exact_products(vectors[able], query)
-            able, scores = able[scores >= beat], scores[scores >= beat]
+            _, _, _, vectors, ids, keys, steps, most = self.pages[node]
+            able = np.flatnonzero(np.abs(at - steps) <= limit)
+            # leaving out a few entries costs more than their products
+            some = vectors if 2 * len(able) > len(keys) else vectors[able]
+            scores = exact_products(some, query, most * largest)
+            scores = scores[able] if some is vectors else scores
+            good = np.flatnonzero(scores >= beat)
+            able, scores = able[good], scores[good]
+            if len(able) and own in keys[able]:
+                other = keys[able] != own
+                able, scores = able[other], scores[other]
+            if not len(able):
+                continue
             scores = np.concatenate([best[0], scores])
             found = np.concatenate([best[1], ids[able]])
             rows = np.concatenate([best[2], keys[able]])
@@ -177,10 +188,9 @@ class Subtree:
         return best
 
 
-def exact_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Integer inner products; whole numbers below 2^53 are exact in floating point."""
-    most = np.abs(vectors).max(initial=0) * np.abs(query).max(initial=0) * max(1, len(query))
-    if most < 2**53:
+def exact_products(vectors: np.ndarray, query: np.ndarray, most: float) -> np.ndarray:
+    """Integer inner products, no factor pair above ``most``; below 2^53 floats are exact."""
+    if most * max(1, len(query)) < 2**53:
         return (vectors @ query).astype(np.int64)
     return vectors.astype(np.int64) @ query.astype(np.int64)
 
