@@ -31,7 +31,7 @@ from lexigate.llm.words import NOT_SPACE, Words, blocks, hashed_words, mixed, sh
 BITS = 18
 BUCKETS = 1 << BITS
 MAX_ROWS = 16_384  # of the training sample
-EPOCHS = 3
+EPOCHS = 8
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 0.5  # of the updates
 SEED = 7
 FOLDS, HELD = 5, 0
