@@ -232,8 +232,9 @@ def likelihoods(docs: DataFrame, vocabulary: str = VOCABULARY, head: int = HEAD)
                         batch.column("doc_id").slice(row, rows).cast(pa.int64()),
                         pa.array(np.bincount(words.doc, minlength=rows), pa.int64()),
                         pa.array(sums[0].astype(np.int64)),
-                        pa.array(sums[1]),
-                        pa.array(sums[2]),
+                        # (numpy counts nothing in whole numbers)
+                        pa.array(sums[1].astype(float)),
+                        pa.array(sums[2].astype(float)),
                         pa.ListArray.from_arrays(pa.array(edges), rare),
                     ],
                     names=["doc_id", "n_words", "known", "base", "weight", "rare"],

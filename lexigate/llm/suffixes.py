@@ -12,8 +12,9 @@ decide; longer passages have further minimisers, and the marks of all of them ar
 
 Exact copies are one text here, so a group of copies is as cheap as one of them; they are passages
 in full, and get their marks back at the end. Words are runs without white space; they are compared
-by hashes, of 64 bits for a run's start and 32 bits for each word next to it. Where texts that share
-only the right part lie between two that share both, neighbours can miss a left part of the match.
+by hashes, of 64 bits for a run's start and 32 bits for each word next to it. Every suffix is compared
+with up to ``HOPS`` neighbouring texts on either side; a first or last word of a match that only texts
+further away share can be missed.
 
 Cases: null and empty texts, and texts of fewer than ``LEAST`` words, have no marks; a repeated row is
 a copy of the other, and both are marked; a passage that repeats only inside one text is not
@@ -39,6 +40,7 @@ LEAST = 50
 GRAM = 5
 SPREAD = 25
 RUN = LEAST - SPREAD + 1
+HOPS = 8  # neighbouring texts on either side that a suffix is compared with
 SORTED_ROWS = 50_000  # suffixes per sorted partition, about
 
 ANCHORS = "text_key bigint, doc_id bigint, n_words int, anchors array<struct<run: bigint, at: int>>"
@@ -186,28 +188,30 @@ def matches(table: pa.Table, place: int | None, least: int = LEAST) -> Iterator[
     text = np.searchsorted(opens, np.arange(len(key)), side="right") - 1
     edges = np.append(opens, len(key))
     row = np.arange(len(key))
-    for other in (edges[text] - 1, edges[text + 1]):
-        inside = (other >= 0) & (other < len(key))
-        a, b = row[inside], other[inside]
-        ahead = _shared(right, right_size, a, b)
-        behind = _shared(left, left_size, a, b)
-        # both ends count: the neighbour is marked as well
-        good = ahead + behind >= least
-        for x, y in ((a, b), (b, a)):
-            x, y, r, l = x[good], y[good], ahead[good], behind[good]
-            empty = pa.nulls(len(x))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    c.cast(f.type)
-                    for c, f in zip(
-                        (pa.array(key[x]), pa.array(at[x] - l), pa.array(at[x] + r), pa.array(key[y]),
-                         empty, empty, empty, empty),
-                        _MATCH,
-                        strict=True,
-                    )
-                ],
-                schema=_MATCH,
-            )
+    most_left = np.full(len(key), -1)
+    most_right = np.full(len(key), -1)
+    partner = np.zeros(len(key), dtype=np.int64)
+    for hop in range(HOPS):
+        for other in (edges[np.maximum(text - hop, 0)] - 1, edges[np.minimum(text + 1 + hop, len(opens))]):
+            inside = (other >= 0) & (other < len(key))
+            a, b = row[inside], other[inside]
+            apart = key[a] != key[b]
+            a, b = a[apart], b[apart]
+            ahead = _shared(right, right_size, a, b)
+            behind = _shared(left, left_size, a, b)
+            good = ahead + behind >= least
+            a, b, ahead, behind = a[good], b[good], ahead[good], behind[good]
+            for x, y in ((a, b), (b, a)):  # the neighbour is marked as well
+                np.maximum.at(most_right, x, ahead)
+                np.maximum.at(most_left, x, behind)
+                partner[x] = key[y]
+    marked = np.flatnonzero(most_right >= 0)
+    empty = pa.nulls(len(marked))
+    spans = (at[marked] - most_left[marked], at[marked] + most_right[marked], partner[marked])
+    columns = (pa.array(key[marked]), *map(pa.array, spans), empty, empty, empty, empty)
+    yield pa.RecordBatch.from_arrays(
+        [c.cast(f.type) for c, f in zip(columns, _MATCH, strict=True)], schema=_MATCH
+    )
     if place is not None:
         ends = np.unique(np.concatenate([row[: edges[1]], row[edges[-2] :]]))
         some = table.take(pa.array(ends)).combine_chunks()
@@ -281,7 +285,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             yield from matches(pa.Table.from_batches(held), None)
 
     parts = max(1, math.ceil(found.count() / SORTED_ROWS))
-    order = ["right", "text_key", "at"]
+    order = ["right", "left", "text_key", "at"]
     compared = written(
         found.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
