@@ -34,6 +34,10 @@ class ModelConfig:
     type: str = "logistic_regression"
     c: float = 1.0
     max_iter: int = 1000
+    # relative change of the objective at which a gradient fit stops
+    tol: float = 1e-6
+    # levels in which partial gradients are added up; more for many wide partitions
+    aggregation_depth: int = 2
     n_estimators: int = 200
     max_depth: int = 20
     min_samples_split: int = 5

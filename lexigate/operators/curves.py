@@ -26,9 +26,11 @@ def score_table(
     """Per distinct score: ``pos``, ``neg``, and ``tps``, ``fps`` of the rows at or above it.
 
     ``positive`` defaults to the second label in sorted order; other than two labels is an error.
+    Rows without a score (null or NaN) are left out; infinite scores rank like any other.
     """
     if positive is None:
         positive = positive_label(df, label)
+    df = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     counted = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == positive).alias("pos"),
         F.count_if(F.col(label) != positive).alias("neg"),

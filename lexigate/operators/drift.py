@@ -178,8 +178,10 @@ def _ks(values: DataFrame, edges: Sequence[float]) -> DataFrame:
         edges=edges,
     )
     # totals has one row per column of the schema
+    # (a column without values on one side has no statistic)
     gap = F.abs(
-        F.col("upto_reference") / F.col("n_reference") - F.col("upto_current") / F.col("n_current")
+        F.try_divide(F.col("upto_reference"), F.col("n_reference"))
+        - F.try_divide(F.col("upto_current"), F.col("n_current"))
     )
     statistic = (
         ranked.join(F.broadcast(totals), "column")

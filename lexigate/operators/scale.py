@@ -19,6 +19,7 @@ from lexigate.functions.clock import wall_micros
 # A side is broadcast only after it was counted and found no larger than this.
 SMALL_SIDE_ROWS = 100_000
 ROWS_PER_RANGE = 2_000_000
+# Edges go through the driver; beyond 20 billion rows ranges grow instead of becoming more.
 MAX_RANGES = 10_000
 
 
@@ -26,8 +27,10 @@ def bounded_side(side: DataFrame, limit: int = SMALL_SIDE_ROWS) -> DataFrame:
     """Materialise a side that is expected to be small and mark it for broadcast.
 
     At most ``limit + 1`` rows reach the driver. A larger side is returned as it was, without a
-    hint, and joins by shuffle.
+    hint, and joins by shuffle. A stream can't be counted and is returned as it was too.
     """
+    if side.isStreaming:
+        return side
     table = side.limit(limit + 1).toArrow()
     if table.num_rows > limit:
         return side
@@ -55,14 +58,16 @@ def range_edges(
     Edges come from a quantile sketch, so they are approximate; they only affect how even the
     ranges are, never a result. Ask this of the rows as they are read: a count and a sketch of
     one column shuffle nothing, and ranges that are even over the rows hold no more distinct
-    values than rows.
+    values than rows. Only finite values cut; infinite ones and NaN belong to the outer ranges.
     """
     ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
     if ranges <= 1:
         return []
     shares = [i / ranges for i in range(1, ranges)]
+    position = _position(column, df)
+    finite = F.when(F.abs(position) < F.lit(math.inf), position)
     edges = df.select(
-        F.percentile_approx(_position(column, df), shares, max(10_000, 20 * ranges))
+        F.percentile_approx(finite, shares, max(10_000, 20 * ranges))
     ).first()[0]
     return sorted(set(edges or ()))
 
@@ -163,12 +168,14 @@ def exact_percentiles(
 ) -> DataFrame:
     """Mean, count and exact linearly interpolated percentiles of a column, per key.
 
+    Nulls and NaN are no values and are left out; infinite values count.
+
     The built-in exact percentile keeps every distinct value of a group in one task; here values
     are first counted, then ranked with ``running``, so no group is held anywhere. ``weight``
     names a column with the number of rows each row stands for.
     """
     one = F.col(weight) if weight else F.lit(1)
-    present = df.filter(F.col(value).isNotNull())
+    present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     edges = range_edges(present, value, rows_per_range)
     counted = present.groupBy(*keys, F.col(value).cast("double").alias("__value")).agg(
         F.sum(one).cast("long").alias("__n")
@@ -209,5 +216,7 @@ def exact_percentiles(
     for name, share in shares.items():
         position = (F.col("n") - 1) * F.lit(float(share))
         low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
-        results.append((low + (high - low) * (position - F.floor(position))).alias(name))
+        between = low + (high - low) * (position - F.floor(position))
+        # equal neighbours may be infinite, and no part of an infinite step is a number
+        results.append(F.when(low == high, low).otherwise(between).alias(name))
     return picked.select(*keys, "n", "mean", *results)

@@ -264,9 +264,11 @@ def summary_frame(
         },
         "training_metrics": training,
         "registry": {
-            "registered": not failed,
-            "stage": "production" if not failed else "none",
-            "reason": f"gate failed: {failed}" if failed else None,
+            # a run writes no registry event; it says whether one would be accepted
+            "registered": False,
+            "stage": "none",
+            "eligible": not failed,
+            "reason": f"gate failed: {failed}" if failed else "no event was written",
         },
     }
     plain = evaluation.report.select(

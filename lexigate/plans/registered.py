@@ -559,7 +559,7 @@ def recent_label_distribution(spark, sf):
 
 def _event_stream(spark, sf):
     schema = inputs.table(spark, sf, "events").schema
-    stream = streams.read_stream(spark, sf, schema, "events.parquet")
+    stream = streams.stream_table(spark, sf, "events", schema)
     return stream.selectExpr(*inputs.LOG_COLUMNS)
 
 
@@ -584,7 +584,7 @@ def stream_recent_log(spark, sf):
 def stream_scoring(spark, sf):
     model, classifier = _scorer(spark, sf)
     schema = inputs.table(spark, sf, "conversations").schema
-    stream = streams.read_stream(spark, sf, schema, "conversations.parquet")
+    stream = streams.stream_table(spark, sf, "conversations", schema)
     scored = scoring.run_scoring(stream, model, classifier, *_folders(spark, "scoring"))
     return scored.select("conv_id", "turn", "prediction", "confidence")
 

@@ -11,11 +11,14 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary one, which is then recorded
-    in the session.
+    Only a local session that names none (a test) gets a temporary one, which is then recorded
+    in the session: executors elsewhere would not see this machine's disk. What is written there
+    stays until the folder's owner deletes it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lexigate-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -13,7 +13,6 @@ from lexigate.operators.quality import DataValidationError
 from lexigate.sources.csv_source import read_csv
 from lexigate.sources.labelled_lines import DatasetIntegrityError, read_labelled_files
 from lexigate.sources.provenance import (
-    dataset_spec,
     licensed_provenance,
     local_provenance,
     synthetic_provenance,
@@ -52,11 +51,11 @@ def acquire(spark: SparkSession, config: DataConfig) -> tuple[DataFrame, dict[st
 
     if config.allow_synthetic_fallback and config.prefer_synthetic:
         return fixture()
-    spec = dataset_spec(config.dataset_key)
+    record = licensed_provenance(config.dataset_key)
     try:
         if not config.dataset_path:
-            raise DatasetIntegrityError(f"no local copy of {spec.key} is configured")
-        return read_labelled_files(spark, config.dataset_path), licensed_provenance(spec)
+            raise DatasetIntegrityError(f"no local copy of {config.dataset_key} is configured")
+        return read_labelled_files(spark, config.dataset_path), record
     except (DatasetIntegrityError, PySparkException) as error:
         if not config.allow_synthetic_fallback:
             raise DataValidationError(

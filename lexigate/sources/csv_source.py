@@ -26,13 +26,15 @@ def read_csv(
 ) -> DataFrame:
     """Read a CSV; missing declared columns are an error that names them.
 
-    A schema saves the extra pass that inference takes.
+    A schema saves the extra pass that inference takes. Every file's header must name the columns
+    in the schema's order; a file that has others or another order fails the read.
     """
     reader = spark.read.options(**_OPTIONS)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    frame = reader.csv(path)
     # by header, so that a schema cannot hide a file without the column
-    header = spark.read.options(**_OPTIONS).option("samplingRatio", 0.01).csv(path).columns
+    header = reader.csv(path).columns
+    if schema is None:
+        schema = spark.read.options(**_OPTIONS, inferSchema=True).csv(path).schema
+    frame = spark.read.options(**_OPTIONS, enforceSchema=False).schema(schema).csv(path)
     missing = [c for c in (text_column, label_column) if c not in header]
     if missing:
         raise ValueError(f"{path} is missing required columns: {missing}")

@@ -26,6 +26,15 @@ def read_stream(
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+    """Stream the table ``name`` of a folder of tables, be it one file or a folder of files."""
+    path = f"{folder}/{name}.parquet"
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if any(file.rstrip("/").endswith(f"/{name}.parquet") for file in files):
+        return read_stream(spark, folder, schema, f"{name}.parquet")
+    return read_stream(spark, path, schema)
+
+
 def event_time(stream: DataFrame, ts: str = "ts", lateness: str = "1 day") -> DataFrame:
     """Give the stream an event time and a watermark; a zone-less ``ts`` is read as UTC."""
     return stream.withColumn(ts, as_instant(F.col(ts))).withWatermark(ts, lateness)
@@ -135,8 +144,10 @@ def _epochs(spark: SparkSession, output: str) -> list[int]:
     """Numbers of the epochs written so far."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(output)
-    except AnalysisException:
-        return []
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     number = F.regexp_extract("path", r"/epoch=(\d+)/", 1).cast("int")
     return [row[0] for row in files.select(number).distinct().collect()]
 

@@ -18,7 +18,13 @@ def score_requests(
     text: str = "text",
     batch_id: str | None = None,
 ) -> DataFrame:
-    """Accepted requests with ``prediction``, ``confidence`` and ``score``. Batch or stream."""
+    """Accepted requests with ``prediction``, ``confidence`` and ``score``. Batch or stream.
+
+    Requests of one ``batch_id`` are counted together, which only a batch frame allows; on a stream,
+    call this per micro-batch.
+    """
+    if batch_id is not None and requests.isStreaming:
+        raise ValueError("batch_id needs a batch frame: score a stream's micro-batches one by one")
     accepted = validate_requests(requests, text, batch_id).filter("accepted")
     ready = override_features(accepted.drop("accepted", "reason"), text, tuple(features.numeric))
     if text != features.text_column:

@@ -82,10 +82,10 @@ def test_provenance_has_no_path(spark):
     assert not any(value.startswith("/") for value in record.values())
     rows = provenance.provenance_of(spark.range(12), "/home/me/data/reviews.csv")
     assert {r["field"]: r["value"] for r in rows.collect()} == record
-    licensed = provenance.licensed_provenance(provenance.dataset_spec("uci-sentiment-labelled-sentences"))
+    licensed = provenance.licensed_provenance("uci-sentiment-labelled-sentences")
     assert licensed["license"] == "CC BY 4.0"
-    with pytest.raises(KeyError, match="Unknown dataset"):
-        provenance.dataset_spec("nope")
+    with pytest.raises(KeyError, match="no dataset"):
+        provenance.licensed_provenance("nope")
 
 
 def test_source_policy(spark, tmp_path):
