@@ -38,7 +38,7 @@ def test_a_run_on_the_fixture_passes(spark, latencies, tmp_path):
     metrics = evaluation.metrics.first()
     assert metrics["n_rows"] == 40 and 0.5 < metrics["roc_auc"] <= 1
     written = json.loads(spark.read.text(f"{output}/summary").first()[0])
-    assert json.loads(written["registry"])["stage"] == "production"
+    assert json.loads(written["registry"])["eligible"] is True
     assert spark.read.parquet(f"{output}/curves/roc").count() >= 2
     loaded = TextFeaturesModel.load(f"{output}/features", spark)
     assert loaded.dimension == candidate.classifier.dimension
