@@ -57,7 +57,7 @@ def _long(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> D
 
 
 def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value, in_reference, in_current)``: what both statistics start from."""
+    """``(column, value, in_reference, in_current)``: what the KS statistic starts from."""
     return (
         _long(reference, current, columns)
         .groupBy("column", "value")
@@ -88,18 +88,8 @@ def compute_psi(
     """Population stability index per column: ``(column, n_reference, n_current, psi)``.
 
     Equal-width buckets over the joint range, one added to every bucket count so that an empty
-    bucket stays finite.
+    bucket stays finite. Rows are binned where they are read; only bucket counts are shuffled.
     """
-    return _psi(value_counts(reference, current, columns), reference, current, columns, buckets)
-
-
-def _psi(
-    counts: DataFrame,
-    reference: DataFrame,
-    current: DataFrame,
-    columns: Sequence[str],
-    buckets: int,
-) -> DataFrame:
     bounds = value_bounds(
         reference.select(*columns).unionByName(current.select(*columns)), columns
     )
@@ -109,8 +99,13 @@ def _psi(
         bucket = F.when(F.col("column") == name, bucket_of(F.col("value"), edges)).otherwise(
             bucket
         )
-    counted = counts.groupBy("column", bucket.alias("bucket")).agg(
-        F.sum("in_reference").alias("in_reference"), F.sum("in_current").alias("in_current")
+    counted = (
+        _long(reference, current, columns)
+        .groupBy("column", bucket.alias("bucket"))
+        .agg(
+            F.count_if(F.col("side") == 0).alias("in_reference"),
+            F.count_if(F.col("side") == 1).alias("in_current"),
+        )
     )
 
     def bucket_counts(side: str) -> Column:
@@ -226,10 +221,8 @@ def check_drift(
     """
     wanted = list(columns) if columns is not None else numeric_columns(reference)
     wanted = [c for c in wanted if c in current.columns]
-    counts = value_counts(reference, current, wanted)
-    psi = _psi(counts, reference, current, wanted, buckets)
-    edges = range_edges(_long(reference, current, wanted), "value", rows_per_range)
-    ks = _ks(counts, edges)
+    psi = compute_psi(reference, current, wanted, buckets)
+    ks = ks_two_sample(reference, current, wanted, rows_per_range)
     return psi.join(ks, "column").select(
         "column", "ks_statistic", "ks_pvalue", "psi", (F.col("psi") <= max_psi).alias("passed")
     )

@@ -338,11 +338,26 @@ def leakage_terms(train: DataFrame, held_out: DataFrame, learned: DataFrame) ->
 
     ``train`` and ``held_out`` have ``terms``; ``learned`` is a vocabulary table.
     """
-    seen = term_statistics(train).select("term")
-    only_outside = term_statistics(held_out).select("term").join(seen, "term", "left_anti")
-    leaked = learned.join(only_outside, "term", "left_semi")
-    return learned.agg(F.count("*").alias("vocabulary_terms")).select(
-        "vocabulary_terms",
-        only_outside.agg(F.count("*")).scalar().alias("outside_only_terms"),
-        leaked.agg(F.count("*")).scalar().alias("leaked_terms"),
+    def terms(df: DataFrame, inside: bool) -> DataFrame:
+        return df.select(
+            F.explode(F.array_distinct("terms")).alias("term"), F.lit(inside).alias("inside")
+        )
+
+    only_outside = (
+        terms(train, True)
+        .unionByName(terms(held_out, False))
+        .groupBy("term")
+        .agg(F.bool_or("inside").alias("inside"))
+        .filter(~F.col("inside"))
+    )
+    # at most max_features terms
+    known = learned.select("term", F.lit(1).alias("learned"))
+    return (
+        only_outside.join(known, "term", "left")
+        .agg(F.count("*").alias("outside_only_terms"), F.count("learned").alias("leaked_terms"))
+        .select(
+            learned.agg(F.count("*")).scalar().alias("vocabulary_terms"),
+            "outside_only_terms",
+            "leaked_terms",
+        )
     )

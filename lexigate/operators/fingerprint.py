@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexigate.functions import hashing as hx
 
@@ -14,9 +15,12 @@ def data_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """One row: 12-character hash and row count.
 
     The sum of row digests is order-free, so it needs no sort and combines map-side. Where a
-    row sits matters only through the row id, which is therefore part of the content.
+    row sits matters only through the row id, which is therefore part of the content. An instant
+    counts by its microseconds, so that the session's time zone does not matter.
     """
     columns = list(columns or df.columns)
+    instants = [c for c in columns if isinstance(df.schema[c].dataType, T.TimestampType)]
+    df = df.withColumns({c: F.unix_micros(c) for c in instants})
     digest = F.md5(hx.encode_row(columns))
     totals = df.select(hx.hash_int(digest).alias("h")).agg(
         F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias(

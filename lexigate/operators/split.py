@@ -240,20 +240,34 @@ def split_sizes(assigned: DataFrame, label_column: str = "sentiment") -> DataFra
 def split_overlap(
     parts: dict[str, DataFrame], whole: DataFrame, id_column: str = "row_id"
 ) -> DataFrame:
-    """Row counts of the pairwise intersections, and of what the union misses or adds."""
+    """Row counts of the pairwise intersections, and of what the union misses or adds.
+
+    One pass: every id carries how often each part and the whole have it. Intersections count
+    ids, the last two count rows.
+    """
     names = sorted(parts)
-    ids = {name: parts[name].select(id_column) for name in names}
-    rows = []
-    for i, left in enumerate(names):
-        for right in names[i + 1 :]:
-            rows.append((f"{left}&{right}", ids[left].intersect(ids[right])))
-    union = ids[names[0]]
-    for name in names[1:]:
-        union = union.unionByName(ids[name])
-    rows.append(("whole-union", whole.select(id_column).exceptAll(union)))
-    rows.append(("union-whole", union.exceptAll(whole.select(id_column))))
-    report = None
-    for name, frame in rows:
-        one = frame.agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "n")
-        report = one if report is None else report.unionByName(one)
-    return report
+    sides = [(name, parts[name]) for name in names] + [(None, whole)]
+    tagged = None
+    for name, frame in sides:
+        one = frame.select(
+            F.col(id_column).alias("id"),
+            *[F.lit(int(other == name)).alias(f"in_{i}") for i, other in enumerate([*names, None])],
+        )
+        tagged = one if tagged is None else tagged.unionByName(one)
+    held = [f"in_{i}" for i in range(len(sides))]
+    per_id = tagged.groupBy("id").agg(*[F.sum(c).alias(c) for c in held])
+    union = sum((F.col(c) for c in held[1:-1]), F.col(held[0]))
+    missed = F.col(held[-1]) - union
+    counts = {
+        f"{left}&{names[j]}": F.count_if((F.col(held[i]) > 0) & (F.col(held[j]) > 0))
+        for i, left in enumerate(names)
+        for j in range(i + 1, len(names))
+    }
+    for name, excess in (("whole-union", missed), ("union-whole", -missed)):
+        counts[name] = F.coalesce(F.sum(F.greatest(excess, F.lit(0))), F.lit(0))
+    cells = [
+        F.struct(F.lit(name).alias("relation"), F.col(f"r_{i}").alias("n"))
+        for i, name in enumerate(counts)
+    ]
+    totals = per_id.agg(*[count.alias(f"r_{i}") for i, count in enumerate(counts.values())])
+    return totals.select(F.inline(F.array(*cells)))

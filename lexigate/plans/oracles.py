@@ -571,7 +571,9 @@ select doc_id, len(w)::bigint as n_terms, md5(array_to_string(w, '|')) as terms_
              "word_count", "source"],
         ),
         "data_fingerprint_orders": fingerprint(
-            "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+            "orders",
+            ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+             "o_orderpriority"],
         ),
         "lineage_match": ctes(
             "a as (select doc_id, quality, text from documents join labels using (doc_id))",

@@ -143,9 +143,7 @@ def data_fingerprint(spark, sf):
 
 
 def data_fingerprint_orders(spark, sf):
-    orders = inputs.table(spark, sf, "orders")
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return fingerprint.data_fingerprint(orders, columns)
+    return fingerprint.data_fingerprint(inputs.table(spark, sf, "orders"))
 
 
 def lineage_match(spark, sf):
@@ -220,10 +218,13 @@ def split_sizes(spark, sf):
 
 def split_overlap(spark, sf):
     reviews = inputs.reviews(spark, sf)
-    train, validation, test = split.three_way_split(reviews)
-    return split.split_overlap(
-        {"train": train, "validation": validation, "test": test}, reviews
-    )
+    path = scratch.new_path(spark, "split")
+    split.assign_splits(reviews).select("row_id", "split").write.parquet(path)
+    assigned = spark.read.parquet(path)
+    parts = {
+        name: assigned.filter(F.col("split") == name) for name in ("train", "validation", "test")
+    }
+    return split.split_overlap(parts, reviews)
 
 
 def cv_folds(spark, sf):
@@ -247,15 +248,22 @@ def tfidf_fit_transform(spark, sf):
     return rounded(features.TextFeatures().fit(rows).weights(rows))
 
 
+def _written(spark, sf):
+    """Derived rows, written once and read back: all, train, validation, test."""
+    path = scratch.new_path(spark, "derived")
+    derived(spark, sf).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return rows, *split.three_way_split(rows)
+
+
 def tfidf_transform(spark, sf):
-    train, validation, test = split.three_way_split(derived(spark, sf))
+    _, train, validation, test = _written(spark, sf)
     model = features.TextFeatures().fit(train)
     return rounded(model.weights(validation.unionByName(test)))
 
 
 def scaled_numeric(spark, sf):
-    rows = derived(spark, sf)
-    train, _, _ = split.three_way_split(rows)
+    rows, train, _, _ = _written(spark, sf)
     numbers = drift.numeric_columns(train, exclude=["row_id"])
     scaling = features.scaler_statistics(train, numbers).first()["scaling"]
     return rounded(
@@ -264,7 +272,7 @@ def scaled_numeric(spark, sf):
 
 
 def leakage_terms(spark, sf):
-    train, validation, test = split.three_way_split(derived(spark, sf))
+    _, train, validation, test = _written(spark, sf)
     model = features.TextFeatures().fit(train)
     return features.leakage_terms(
         features.with_terms(train, "review_text"),
@@ -275,7 +283,7 @@ def leakage_terms(spark, sf):
 
 def feature_vectors(spark, sf):
     """The assembled vectors, unfolded to ``(row_id, idx, value)``."""
-    train, validation, _ = split.three_way_split(derived(spark, sf))
+    _, train, validation, _ = _written(spark, sf)
     model = features.TextFeatures().fit(train)
     sparse = model.transform(validation).select("row_id", F.unwrap_udt("features").alias("v"))
     entries = F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("value"))
@@ -404,10 +412,8 @@ def drift_report(spark, sf):
 
 
 def _fitted(spark, sf):
-    """Features of the three splits; the derived rows are written once and read back."""
-    path = scratch.new_path(spark, "derived")
-    derived(spark, sf).write.parquet(path)
-    train, validation, test = split.three_way_split(spark.read.parquet(path))
+    """Fitted features, and those of the three splits."""
+    _, train, validation, test = _written(spark, sf)
     model = features.TextFeatures().fit(train)
     wanted = ("row_id", "sentiment", "features")
     return model, *[model.transform(part).select(*wanted) for part in (train, validation, test)]

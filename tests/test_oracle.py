@@ -5,6 +5,7 @@ from conftest import SF
 
 import __spark_entry__ as entry
 from compare import differences, duck
+from lexigate.plans import registered
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
@@ -26,7 +27,7 @@ def test_comparison_notices_a_difference(spark, connection):
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(QUERIES) - set(SQL) == {
+    assert set(registered.QUERIES) - set(SQL) == {
         "train_lr", "train_rf", "train_svm", "cv_scores", "training_metrics", "batch_scoring",
         "run_summary", "stream_scoring",
     }
