@@ -92,3 +92,17 @@ def test_a_forged_report_is_refused(spark, run, tmp_path):
     moved = publish.Saved(replace(candidate, lineage=other), json.dumps(report))
     assert not publish.gate_passed(spark, moved)
     assert not publish.gate_passed(spark, publish.Saved(candidate, None))
+
+
+def test_a_run_states_what_the_registry_holds(spark, tmp_path):
+    latencies = spark.range(200).select((F.col("id") / 100).alias("latency_ms"))
+    root, output = str(tmp_path / "registry"), str(tmp_path / "run")
+    _, evaluation, summary = publish.run_and_publish(
+        synthetic_reviews(spark, 100), CONFIG, synthetic_provenance(100, 42), latencies,
+        root, "reviews", "a", output,
+    )
+    assert evaluation.passed
+    said = json.loads(summary.first()["registry"])
+    assert (said["registered"], said["stage"], said["version"]) == (True, "production", "a")
+    written = json.loads(spark.read.text(f"{output}/summary").first()[0])
+    assert json.loads(written["registry"]) == said
