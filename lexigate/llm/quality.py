@@ -19,6 +19,7 @@ rows; other columns are left as they are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,8 @@ from lexigate.llm.words import NOT_SPACE, Words, blocks, hashed_words, mixed, sh
 BITS = 18
 BUCKETS = 1 << BITS
 MAX_ROWS = 16_384  # of the training sample
-EPOCHS = 8
+EPOCHS = 8  # passes over the sample, more if they make fewer than LEAST_UPDATES
+LEAST_UPDATES = 16_384
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 0.5  # of the updates
 SEED = 7
 FOLDS, HELD = 5, 0
@@ -113,7 +115,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = SEED) -> tu
         return np.where((np.abs(z[at]) <= L1) & ~free, 0.0, value)
 
     rng = np.random.default_rng(seed)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, math.ceil(LEAST_UPDATES / max(1, len(rows))))):
         for i in rng.permutation(len(rows)).tolist():
             at, x, label = rows[i]
             at, x = np.concatenate([at, bias]), np.concatenate([x, one])
