@@ -17,6 +17,8 @@ class DataConfig:
     csv_path: str | None = None
     dataset_path: str | None = None
     dataset_key: str = "uci-sentiment-labelled-sentences"
+    # SHA-256 by file name; if any are given, other files under dataset_path are refused
+    dataset_digests: dict[str, str] = field(default_factory=dict, hash=False)
     allow_synthetic_fallback: bool = False
     prefer_synthetic: bool = False
     synthetic_rows: int = 400

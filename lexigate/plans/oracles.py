@@ -638,6 +638,11 @@ union all select 'union-whole', count(*) from (
   select row_id from parts except all select row_id from reviews)""",
         "cv_folds": ctes(REVIEWS, folds_ctes("reviews", "sentiment", "row_id", 5))
         + " select row_id, sentiment, fold from folded",
+        "cv_fold_rows": "with "
+        + log_after
+        + f""", train_part as (select row_id, sentiment from assigned where split = 'train'),
+{folds_ctes('train_part', 'sentiment', 'row_id', 5).replace('classes', 'fold_classes').replace('ranked', 'fold_ranked')}
+select fold, sentiment, count(*) as n_rows from folded group by all""",
         "vocabulary": ctes(
             terms_ctes("documents", "doc_id", clean("text")), vocabulary_ctes("documents")
         )
@@ -679,6 +684,23 @@ union all select row_id, (select count(*) from vocabulary)::int,
   round((review_length - length_mean) / length_scale, 6) from held_out, scaling
 union all select row_id, (select count(*) from vocabulary)::int + 1,
   round((word_count - words_mean) / words_scale, 6) from held_out, scaling""",
+        "weighted_scoring": "with "
+        + log_after
+        + f""", held_out as (select * from assigned where split = 'validation'),
+{terms_train}, {vocabulary_ctes('train')}, {SCALING},
+{terms_ctes('held_out', 'row_id', 'review_text_clean', 'held_')},
+weighted as ({weights('held_counts', 'vocabulary')}),
+entries as (select row_id, idx, weight as value from weighted
+  union all select row_id, (select count(*) from vocabulary)::int,
+    (review_length - length_mean) / length_scale from held_out, scaling
+  union all select row_id, (select count(*) from vocabulary)::int + 1,
+    (word_count - words_mean) / words_scale from held_out, scaling),
+margins as (select row_id, sum(value * (
+    ('0x' || substr(md5(idx::varchar), 1, 6))::bigint::double / 16777216 - 0.5)) as margin
+  from entries group by row_id),
+scored as (select row_id, margin, 1 / (1 + exp(-margin)) as p from margins)
+select row_id, case when margin > 0 then 'positive' else 'negative' end as prediction,
+  round(greatest(p, 1 - p), 4) as confidence, round(p, 6) as score from scored""",
         "confusion_matrix": ctes(MULTICLASS)
         + """, classes as (select label as c from multiclass union select prediction from multiclass)
 select a.c as label, b.c as prediction, count(m.label) as n

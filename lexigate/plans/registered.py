@@ -233,6 +233,16 @@ def cv_folds(spark, sf):
     )
 
 
+def cv_fold_rows(spark, sf):
+    """How many training rows of each class every fold holds out."""
+    _, train, _, _ = _written(spark, sf)
+    return (
+        split.assign_folds(train, folds=RUN.training.cv_folds)
+        .groupBy("fold", "sentiment")
+        .agg(F.count("*").alias("n_rows"))
+    )
+
+
 # ---- features ------------------------------------------------------------------------------
 
 
@@ -461,6 +471,18 @@ def batch_scoring(spark, sf):
     )
 
 
+def weighted_scoring(spark, sf):
+    """Validation rows answered by a linear model that is given as a weight table."""
+    _, train, validation, _ = _written(spark, sf)
+    model = features.TextFeatures().fit(train)
+    digits = F.conv(F.substring(F.md5(F.col("idx").cast("string")), 1, 6), 16, 10)
+    weights = spark.range(model.dimension).select(F.col("id").cast("int").alias("idx")).select(
+        "idx", (digits.cast("double") / (1 << 24) - 0.5).alias("weight")
+    )
+    scored = models.linear_scores(model.transform(validation), weights, ["negative", "positive"])
+    return rounded(scored)
+
+
 def _lifecycle(spark, sf):
     reviews = inputs.reviews(spark, sf)
     config = Config(gate=RUN.gate)
@@ -622,6 +644,8 @@ QUERIES = {
     "split_sizes": split_sizes,
     "split_overlap": split_overlap,
     "cv_folds": cv_folds,
+    "cv_fold_rows": cv_fold_rows,
+    "weighted_scoring": weighted_scoring,
     "vocabulary": vocabulary,
     "tfidf_fit_transform": tfidf_fit_transform,
     "tfidf_transform": tfidf_transform,

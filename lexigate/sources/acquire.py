@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigate.config import DataConfig
+from lexigate.operators.audits import audit_checksums, file_digests
 from lexigate.operators.quality import DataValidationError
 from lexigate.sources.csv_source import read_csv
-from lexigate.sources.labelled_lines import DatasetIntegrityError, read_labelled_files
+from lexigate.sources.labelled_lines import (
+    DatasetIntegrityError,
+    quarantine_counts,
+    read_labelled_files,
+    read_lines,
+)
 from lexigate.sources.provenance import (
     licensed_provenance,
     local_provenance,
@@ -32,12 +38,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def verify_files(spark: SparkSession, path: str, digests: dict[str, str]) -> None:
+    """Refuse a folder whose files are not exactly the pinned ones.
+
+    A file is hashed as one row, so each must be smaller than 2 GB.
+    """
+    manifest = spark.createDataFrame(sorted(digests.items()), "file string, sha256 string")
+    wrong = (
+        audit_checksums(file_digests(spark, path), manifest)
+        .filter("status <> 'ok'")
+        .orderBy("file")
+        .limit(20)
+        .collect()
+    )
+    if wrong:
+        found = ", ".join(f"{row['file']} ({row['status']})" for row in wrong)
+        raise DatasetIntegrityError(f"files differ from their pinned digests: {found}")
+
+
 def acquire(spark: SparkSession, config: DataConfig) -> tuple[DataFrame, dict[str, str]]:
     """Rows and provenance.
 
     In order: a CSV that is configured and there; the fixture if it is allowed and preferred; the
     licensed dataset; and if that fails the fixture only if it is allowed, else an error. Nothing
-    degrades to generated text unasked.
+    degrades to generated text unasked. Licensed files are verified first, if digests are pinned,
+    and read in full once, so that an unreadable one is met here; the record tells how many lines
+    were parsed and skipped, and how many files were verified.
     """
     if config.csv_path and path_exists(spark, config.csv_path):
         frame = read_csv(spark, config.csv_path, config.text_column, config.label_column)
@@ -55,7 +81,16 @@ def acquire(spark: SparkSession, config: DataConfig) -> tuple[DataFrame, dict[st
     try:
         if not config.dataset_path:
             raise DatasetIntegrityError(f"no local copy of {config.dataset_key} is configured")
-        return read_labelled_files(spark, config.dataset_path), record
+        if config.dataset_digests:
+            verify_files(spark, config.dataset_path, config.dataset_digests)
+        rows = read_labelled_files(spark, config.dataset_path)
+        lines = quarantine_counts(read_lines(spark, config.dataset_path))
+        parsed, skipped = lines.agg(F.sum("parsed"), F.sum("skipped")).first()
+        return rows, record | {
+            "n_rows": str(parsed),
+            "n_skipped": str(skipped),
+            "n_files_verified": str(len(config.dataset_digests)),
+        }
     except (DatasetIntegrityError, PySparkException) as error:
         if not config.allow_synthetic_fallback:
             raise DataValidationError(

@@ -21,18 +21,36 @@ from lexigate.operators.scale import ROWS_PER_RANGE, exact_percentiles
 
 
 def read_stream(
-    spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet"
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    pattern: str = "*.parquet",
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    """Stream a folder of files.
 
-
-def stream_table(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
+    Without ``files_per_batch`` a backlog is one micro-batch. With it, rows that come behind the
+    watermark of an earlier batch are dropped by windowed statistics, and reported.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
+
+
+def stream_table(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    schema: StructType,
+    files_per_batch: int | None = None,
+) -> DataFrame:
     """Stream the table ``name`` of a folder of tables, be it one file or a folder of files."""
     path = f"{folder}/{name}.parquet"
     files = spark.read.schema(schema).parquet(path).inputFiles()
     if any(file.rstrip("/").endswith(f"/{name}.parquet") for file in files):
-        return read_stream(spark, folder, schema, f"{name}.parquet")
-    return read_stream(spark, path, schema)
+        return read_stream(spark, folder, schema, f"{name}.parquet", files_per_batch)
+    return read_stream(spark, path, schema, files_per_batch=files_per_batch)
 
 
 def event_time(stream: DataFrame, ts: str = "ts", lateness: str = "1 day") -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -115,6 +116,23 @@ def test_source_policy(spark, tmp_path):
         assert record["kind"] == "synthetic-fixture"
 
 
+def test_pinned_files(spark, tmp_path):
+    write(tmp_path, a_labelled="good\t1\nno label\n", b_labelled="bad\t0\n")
+    digests = {
+        p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.iterdir()
+    }
+    pinned = DataConfig(dataset_path=str(tmp_path), dataset_digests=digests)
+    frame, record = acquire(spark, pinned)
+    assert frame.count() == 2
+    assert (record["n_rows"], record["n_skipped"], record["n_files_verified"]) == ("2", "1", "2")
+    missing = {**digests, "c_labelled.txt": "0" * 64}
+    with pytest.raises(DataValidationError, match="c_labelled.txt .missing."):
+        acquire(spark, DataConfig(dataset_path=str(tmp_path), dataset_digests=missing))
+    write(tmp_path, b_labelled="bad\t1\n", d_labelled="more\t1\n")
+    with pytest.raises(DataValidationError, match="b_labelled.txt .mismatch., d_labelled.txt .unexpected."):
+        acquire(spark, pinned)
+
+
 def test_manifest(spark, tmp_path):
     frame = synthetic.synthetic_reviews(spark, 20)
     sinks.write_manifest(frame, "synthetic-reviews", str(tmp_path / "m"))
