@@ -7,6 +7,7 @@ so totals survive a restart.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,8 @@ from lexigate.functions.clock import as_instant, utc_day
 from lexigate.operators.latency import LOG_CAPACITY, recent_log
 from lexigate.operators.scale import ROWS_PER_RANGE, exact_percentiles
 
+logger = logging.getLogger(__name__)
+
 
 def read_stream(
     spark: SparkSession,
@@ -174,3 +177,15 @@ def await_end(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+    if late := late_rows(query):
+        logger.warning("%d rows came behind the watermark and were dropped", late)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """State updates dropped behind the watermark, in the progress reports that the session keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(
+        state.numRowsDroppedByWatermark
+        for report in query.recentProgress
+        for state in report.stateOperators
+    )

@@ -74,6 +74,25 @@ def test_streams_read_a_file_or_a_folder(spark, tmp_path, files):
     assert sorted(found.collect()) == sorted(expected.collect())
 
 
+@pytest.mark.parametrize("backwards", [False, True])
+def test_small_batches_equal_one_batch_but_for_reported_rows(spark, tmp_path, backwards):
+    """Files in order of time lose nothing; days that come behind a later one are counted."""
+    days = [range(lo, lo + 2) for lo in (0, 2, 4)]
+    for some in reversed(days) if backwards else days:
+        spark.createDataFrame([(d, "a", float(d)) for d in some], "d int, prediction string, latency_ms double").selectExpr(
+            "timestamp_seconds(d * 86400) as ts", "prediction", "latency_ms"
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    schema = spark.read.parquet(str(tmp_path / "log")).schema
+    stream = streams.read_stream(spark, str(tmp_path / "log"), schema, files_per_batch=1)
+    counts = streams.latency_counts(streams.event_time(stream))
+    query = streams.write_changes(counts, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    streams.await_end(query)
+    keys = ["window", "prediction", "latency_ms"]
+    found = streams.latest_changes(spark, str(tmp_path / "out"), keys, ["n"]).count()
+    assert found + streams.late_rows(query) == 6
+    assert (streams.late_rows(query) > 0) == backwards
+
+
 def test_only_a_missing_folder_means_no_epochs(spark, tmp_path):
     assert streams._epochs(spark, str(tmp_path / "none")) == []
     with pytest.raises(Exception, match="nosuchscheme"):
