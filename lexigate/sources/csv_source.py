@@ -23,18 +23,23 @@ def read_csv(
     label_column: str = "sentiment",
     schema: StructType | str | None = None,
     null_words: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a CSV; missing declared columns are an error that names them.
 
     A schema saves the extra pass that inference takes. Every file's header must name the columns
     in the schema's order; a file that has others or another order fails the read.
+
+    A file whose fields may hold line breaks is one task. Without ``multi_line`` large files are
+    split, and every line is a row.
     """
-    reader = spark.read.options(**_OPTIONS)
+    options = _OPTIONS | {"multiLine": multi_line}
+    reader = spark.read.options(**options)
     # by header, so that a schema cannot hide a file without the column
     header = reader.csv(path).columns
     if schema is None:
-        schema = spark.read.options(**_OPTIONS, inferSchema=True).csv(path).schema
-    frame = spark.read.options(**_OPTIONS, enforceSchema=False).schema(schema).csv(path)
+        schema = spark.read.options(**options, inferSchema=True).csv(path).schema
+    frame = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
     missing = [c for c in (text_column, label_column) if c not in header]
     if missing:
         raise ValueError(f"{path} is missing required columns: {missing}")

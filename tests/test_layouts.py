@@ -121,6 +121,20 @@ def test_csv_files_with_another_header_order_fail(spark, tmp_path):
             csv_source.read_csv(spark, str(tmp_path), schema=schema).collect()
 
 
+def test_large_csv_files_can_be_split(spark, tmp_path):
+    lines = [f'"text, {i}",positive' for i in range(2000)]
+    (tmp_path / "a.csv").write_text("\n".join(["review_text,sentiment", *lines]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        whole = csv_source.read_csv(spark, str(tmp_path / "a.csv"))
+        parts = csv_source.read_csv(spark, str(tmp_path / "a.csv"), multi_line=False)
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert parts.select(F.spark_partition_id()).distinct().count() > 1
+        assert sorted(parts.collect()) == sorted(whole.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_latency_ignores_what_is_no_number(spark):
     rows = spark.createDataFrame([(1.0,), (3.0,), (math.nan,), (None,)], "latency_ms double")
     found = latency.latency_summary(rows).first()
