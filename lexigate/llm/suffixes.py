@@ -4,17 +4,20 @@ Of all suffixes only those at content-selected positions are kept: the minimiser
 position with the least hash of ``GRAM`` words in every ``SPREAD`` consecutive ones. Two places that
 share ``LEAST`` words share a minimiser in the first ``SPREAD`` positions of the shared passage, hence at
 least ``RUN`` = LEAST - SPREAD + 1 words from there on. Suffixes whose first ``RUN`` words no other text
-has are dropped by their hash; the rest are sorted (a range-partitioned sort, in which even one very
-common passage is spread over tasks), each is compared with its neighbours in the order that belong
-to other texts, and the match is extended to the left and to the right. A match of ``LEAST`` words or
-more marks its words. A suffix carries ``LEAST`` words to the right and ``SPREAD`` to the left, enough to
-decide; longer passages have further minimisers, and the marks of all of them are merged.
+has are dropped by their hash; the rest are dealt by it and sorted, each is compared with all others
+of its run, at most ``HOPS`` away in the order, and the match is extended to the left and to the right.
+A match of ``LEAST`` words or more marks its words. A suffix carries ``LEAST`` words to the right and
+``SPREAD`` to the left, enough to decide; longer passages have further minimisers, and the marks of
+all of them are merged.
+
+A crowded run (more suffixes than ``HOPS`` + 1, or several in one text) is not compared by pairs: every
+window of ``LEAST`` words around its suffixes is hashed, and one that another text has as well is marked.
+Least and greatest text per hash are aggregated before the shuffle, so a very common line or passage
+costs as many rows as it has words, and none of its texts is left out.
 
 Exact copies are one text here, so a group of copies is as cheap as one of them; they are passages
 in full, and get their marks back at the end. Words are runs without white space; they are compared
-by hashes, of 64 bits for a run's start and 32 bits for each word next to it. Every suffix is compared
-with up to ``HOPS`` neighbouring texts on either side; a first or last word of a match that only texts
-further away share can be missed.
+by hashes, of 64 bits for a run's start or a window and 32 bits for each word next to a run's start.
 
 Cases: null and empty texts, and texts of fewer than ``LEAST`` words, have no marks; a repeated row is
 a copy of the other, and both are marked; a passage that repeats only inside one text is not
@@ -29,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,23 +42,14 @@ LEAST = 50
 GRAM = 5
 SPREAD = 25
 RUN = LEAST - SPREAD + 1
-HOPS = 8  # neighbouring texts on either side that a suffix is compared with
+HOPS = 8  # neighbours on either side that a suffix is compared with; runs of more go by windows
 SORTED_ROWS = 50_000  # suffixes per sorted partition, about
 
-ANCHORS = "text_key bigint, doc_id bigint, n_words int, anchors array<struct<run: bigint, at: int>>"
-SUFFIX = "text_key bigint, at int, right binary, left binary"
-MATCH = "text_key bigint, start int, stop int, partner bigint, at int, right binary, left binary, place bigint"
+ANCHORS = "text_key bigint, doc_id bigint, n_words int, anchors array<struct<run: bigint, at: int, again: boolean>>"
+SUFFIX = "text_key bigint, at int, run bigint, right binary, left binary, window bigint"
+MATCH = "text_key bigint, start int, stop int, partner bigint"
 _MATCH = pa.schema(
-    [
-        ("text_key", pa.int64()),
-        ("start", pa.int32()),
-        ("stop", pa.int32()),
-        ("partner", pa.int64()),
-        ("at", pa.int32()),
-        ("right", pa.binary()),
-        ("left", pa.binary()),
-        ("place", pa.int64()),
-    ]
+    [("text_key", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("partner", pa.int64())]
 )
 
 
@@ -108,9 +101,17 @@ def anchored(docs: DataFrame) -> DataFrame:
                 # a text of fewer than LEAST words can't hold a passage
                 long = np.diff(edges)[doc] >= LEAST
                 run, at, doc = run[long], at[long], doc[long]
+                order = np.lexsort((run, doc))
+                same = (np.diff(run[order]) == 0) & (np.diff(doc[order]) == 0)
+                again = np.zeros(len(at), dtype=bool)
+                again[order[1:][same]] = True
                 held = pa.StructArray.from_arrays(
-                    [pa.array(run.view(np.int64)), pa.array((at - edges[doc]).astype(np.int32))],
-                    names=["run", "at"],
+                    [
+                        pa.array(run.view(np.int64)),
+                        pa.array((at - edges[doc]).astype(np.int32)),
+                        pa.array(again),
+                    ],
+                    names=["run", "at", "again"],
                 )
                 cuts = np.searchsorted(doc, np.arange(rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -126,10 +127,24 @@ def anchored(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(find, ANCHORS)
 
 
+def windows_near(at: np.ndarray, n_words: int) -> np.ndarray:
+    """Starts of the windows of ``LEAST`` words whose common minimiser can be one of ``at``.
+
+    Or one that is left out after it, in text that repeats a few words.
+    """
+    starts = (at[:, None] + np.arange(1 - SPREAD, SPREAD // 2)[None, :]).ravel()
+    return np.unique(starts[(starts >= 0) & (starts + LEAST <= n_words)])
+
+
 def suffixes(texts: DataFrame) -> DataFrame:
-    """The words after and before each position of ``places`` in ``text``, 4 bytes per word."""
+    """For each of ``places`` in ``text`` the words after and before it, 4 bytes per word.
+
+    For crowded ones the hashes of the windows around them instead.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+        names = ["text_key", "at", "run", "right", "left", "window"]
         for batch in batches:
             places = batch.column("places").to_pylist()
             keys = batch.column("text_key").to_pylist()
@@ -140,19 +155,41 @@ def suffixes(texts: DataFrame) -> DataFrame:
                 back = code[::-1].tobytes()
                 code = code.tobytes()
                 total = len(words.hash)
-                made: list[list] = [[], [], [], []]
+                first, value = shingles(words, LEAST)
+                value = value.view(np.int64)
+                made: list[list] = [[], [], [], [], []]
                 for i, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-                    for at in sorted(places[row + i]):
+                    crowded = []
+                    for place in places[row + i]:
+                        at = place["at"]
+                        if place["crowded"]:
+                            crowded.append(at)
+                            continue
                         p = lo + at
                         stop, start = min(hi, p + LEAST), max(lo, p - SPREAD)
                         made[0].append(keys[row + i])
                         made[1].append(at)
-                        made[2].append(code[4 * p : 4 * stop])
-                        made[3].append(back[4 * (total - p) : 4 * (total - start)])
-                types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                        made[2].append(place["run"])
+                        made[3].append(code[4 * p : 4 * stop])
+                        made[4].append(back[4 * (total - p) : 4 * (total - start)])
+                    if crowded:
+                        starts = windows_near(np.array(crowded), hi - lo)
+                        n = len(starts)
+                        hashes = value[np.searchsorted(first, lo + starts)]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(n, keys[row + i], dtype=np.int64)),
+                                pa.array(starts.astype(np.int32)),
+                                pa.nulls(n, types[2]),
+                                pa.nulls(n, types[3]),
+                                pa.nulls(n, types[4]),
+                                pa.array(hashes),
+                            ],
+                            names=names,
+                        )
+                columns = [pa.array(m, t) for m, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(m, t) for m, t in zip(made, types, strict=True)],
-                    names=["text_key", "at", "right", "left"],
+                    [*columns, pa.nulls(len(made[0]), types[5])], names=names
                 )
 
     return texts.mapInArrow(cut, SUFFIX)
@@ -172,12 +209,8 @@ def _shared(codes: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray)
     return np.minimum(run, np.minimum(sizes[a], sizes[b]))
 
 
-def matches(table: pa.Table, place: int | None, least: int = LEAST) -> Iterator[pa.RecordBatch]:
-    """Matches of sorted suffixes with their neighbours of other texts.
-
-    With a ``place`` (of the partition in the order), the first and the last text's suffixes
-    follow, to be compared with the neighbouring partitions'.
-    """
+def matches(table: pa.Table, least: int = LEAST) -> Iterator[pa.RecordBatch]:
+    """Matches of sorted suffixes with their neighbours of other texts."""
     if not table.num_rows:
         return
     key = table["text_key"].to_numpy()
@@ -206,22 +239,11 @@ def matches(table: pa.Table, place: int | None, least: int = LEAST) -> Iterator[
                 np.maximum.at(most_left, x, behind)
                 partner[x] = key[y]
     marked = np.flatnonzero(most_right >= 0)
-    empty = pa.nulls(len(marked))
     spans = (at[marked] - most_left[marked], at[marked] + most_right[marked], partner[marked])
-    columns = (pa.array(key[marked]), *map(pa.array, spans), empty, empty, empty, empty)
+    columns = (pa.array(key[marked]), *map(pa.array, spans))
     yield pa.RecordBatch.from_arrays(
         [c.cast(f.type) for c, f in zip(columns, _MATCH, strict=True)], schema=_MATCH
     )
-    if place is not None:
-        ends = np.unique(np.concatenate([row[: edges[1]], row[edges[-2] :]]))
-        some = table.take(pa.array(ends)).combine_chunks()
-        empty = pa.nulls(len(ends))
-        columns = {n: some[n].combine_chunks() for n in ("text_key", "at", "right", "left")}
-        columns |= {n: empty for n in ("start", "stop", "partner")}
-        columns["place"] = pa.array((place << 32) + ends)
-        yield pa.RecordBatch.from_arrays(
-            [columns[f.name].cast(f.type) for f in _MATCH], schema=_MATCH
-        )
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -257,15 +279,19 @@ def repeated(docs: DataFrame) -> DataFrame:
     # written, so that the join deals both its sides itself and a very common run can be split
     shared = written(
         unique.groupBy("run")
-        .agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
+        .agg(
+            F.min("text_key").alias("a"),
+            F.max("text_key").alias("b"),
+            ((F.count("*") > HOPS + 1) | F.max("again")).alias("crowded"),
+        )
         .filter("a <> b")
-        .select("run"),
+        .select("run", "crowded"),
         "shared-runs",
     )
     places = (
         unique.join(shared, "run")
         .groupBy("text_key")
-        .agg(F.collect_list("at").alias("places"))
+        .agg(F.collect_list(F.struct("at", "run", "crowded")).alias("places"))
         .join(texts.select("text_key", "of_doc"), "text_key")
         .select(F.col("text_key").alias("key"), "of_doc", "places")
     )
@@ -277,32 +303,31 @@ def repeated(docs: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if held:
-            yield from matches(pa.Table.from_batches(held), TaskContext.get().partitionId())
-
-    def compare_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if held:
-            yield from matches(pa.Table.from_batches(held), None)
-
-    parts = max(1, math.ceil(found.count() / SORTED_ROWS))
-    order = ["right", "left", "text_key", "at"]
-    compared = written(
-        found.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(compare, MATCH),
-        "matches",
+            yield from matches(pa.Table.from_batches(held))
+
+    few = found.filter("window is null").select("text_key", "at", "run", "right", "left")
+    parts = max(1, math.ceil(few.count() / SORTED_ROWS))
+    compared = (
+        few.repartition(parts, "run")
+        .sortWithinPartitions("right", "left", "text_key", "at")
+        .mapInArrow(compare, MATCH)
+    )
+    around = found.filter("window is not null").select("text_key", "at", "window")
+    # written, so that the join deals both its sides itself and a very common window can be split
+    common = written(
+        around.groupBy("window")
+        .agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
+        .filter("a <> b"),
+        "shared-windows",
     )
-    # the ends of the sorted partitions: two texts of each
-    between = (
-        compared.filter("place is not null")
-        .select("text_key", "at", "right", "left", "place")
-        .repartition(1)
-        .sortWithinPartitions("place")
-        .mapInArrow(compare_ends, MATCH)
+    in_windows = around.join(common, "window").select(
+        "text_key",
+        F.col("at").alias("start"),
+        (F.col("at") + LEAST).alias("stop"),
+        F.when(F.col("text_key") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("partner"),
     )
     raw = (
-        compared.filter("place is null")
-        .unionByName(between)
+        compared.unionByName(in_windows)
         .groupBy("text_key", "start", "stop")
         .agg(F.min("partner").alias("partner"))
     )
