@@ -139,9 +139,93 @@ select doc_id, size, source_size, target,
 from b
 """
 
+HARD_NEGATIVES = """
+with v as (
+    select vec_id,
+        case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null and label is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.vec_id as anchor_id, c.vec_id as other_id, a.label = c.label as alike,
+        cast(list_inner_product(a.v, c.v) as bigint) as score
+    from v a join v c on a.vec_id <> c.vec_id
+    where a.vec_id % 100 = 0
+), p as (
+    select anchor_id, other_id as positive_id, score as positive_score from s where alike
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, other_id as negative_id,
+    positive_score, score as negative_score
+from p join s using (anchor_id)
+where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 10
+"""
+
+# The checksum bit by bit; subtree totals by all pairs of a node and a node below it.
+PREFIX_TRIE = """
+with t as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id
+            order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) as place
+    from conversations where conv_id is not null
+), n as (
+    select conv_id, max(place) as n, conv_id - conv_id % 5 as base,
+        xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(
+                string_split(cast(conv_id as varchar), ''), lambda x: cast(ord(x) as bigint))),
+            lambda a, b: list_reduce(
+                list_prepend(xor(a, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                lambda c, d: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end
+            ))) % 9 as head
+    from t group by conv_id
+), c as (
+    select n.*, least(n.head, coalesce(b.n, 0)) as taken from n left join n b on b.conv_id = n.base
+), r as (
+    select c.conv_id, t.place, role, text from c join t on t.conv_id = c.base where t.place <= c.head
+    union all
+    select c.conv_id, t.place - c.head + c.taken, role, text
+    from c join t on t.conv_id = c.conv_id where t.place > c.head
+), p as (
+    select conv_id, place as depth, strlen(text) as size,
+        md5(string_agg(md5(role) || md5(text), '') over (partition by conv_id order by place)) as node
+    from r
+    union all
+    select conv_id, 0, 0, '' from c
+), m as (
+    select *, lag(node) over (partition by conv_id order by depth) as parent,
+        max(depth) over (partition by conv_id) as turns
+    from p
+), v as (
+    select node, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(parent) as parent,
+        (count(*) - 1) * max(size) as saved,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id)
+            filter (depth = turns), '')) as ends_sha256
+    from m group by node, depth
+), k as (
+    select parent as node, count(*) as n_children from v where depth > 0 group by parent
+), pairs as (
+    select distinct a.node as node, b.node as below
+    from p a join p b on a.conv_id = b.conv_id and a.depth <= b.depth
+), totals as (
+    select pairs.node, sum(saved) as saved_tokens,
+        count(*) filter (k.n_children is null) as n_leaves
+    from pairs join v on v.node = pairs.below left join k on k.node = pairs.below
+    group by pairs.node
+)
+select v.conv_id, cast(v.depth as bigint) as depth, u.conv_id as parent_conv_id, v.n_convs,
+    coalesce(k.n_children, 0) as n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens,
+    v.ends_sha256
+from v join totals using (node) left join k using (node) left join v u on u.node = v.parent
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op7_topk": TOP_K,
     "op8_decontamination": DECONTAMINATION,
     "op9_source_mix": SOURCE_MIX,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

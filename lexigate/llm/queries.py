@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigate.llm import decontaminate, lattice, mixing, mtree, pii, quality, secrets, simhash, suffixes, warc
+from lexigate.llm import (
+    decontaminate,
+    hard_negatives,
+    lattice,
+    mixing,
+    mtree,
+    pii,
+    prefix_trie,
+    quality,
+    secrets,
+    simhash,
+    suffixes,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +96,32 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.expr("vec_id % 7 = 0"), (F.col("label").cast("long") + 1) % 10)
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.coalesce(moved, "label"))
+    return hard_negatives.mine(rows).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_quality, op3_repeated_passages, op4_pii, op5_likelihood, op6_simhash, op7_topk, op8_decontamination, op9_source_mix, op10_secret_scan)
+    f.__name__: f
+    for f in (
+        op1_warc,
+        op2_quality,
+        op3_repeated_passages,
+        op4_pii,
+        op5_likelihood,
+        op6_simhash,
+        op7_topk,
+        op8_decontamination,
+        op9_source_mix,
+        op10_secret_scan,
+        op11_hard_negatives,
+        op13_prefix_trie,
+    )
 }
