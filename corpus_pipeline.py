@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigate.llm import decontaminate, mixing, near, pii, quality
+from lexigate.llm import decontaminate, mixing, pii, quality, simhash
 from lexigate.llm.queries import QUALITY_LEAST, table
 from lexigate.scratch import new_path
 
@@ -27,9 +27,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every class of near duplicates.
 
-    Near duplicates share 0.8 or more of their five-word shingles, checked on the texts.
+    Classes are those of ``op6_simhash``: fingerprints of four-word shingles, linked at four bits.
     """
-    return near.representatives(docs)
+    return simhash.representatives(docs)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", good_quality),
-    ("near duplicates", one_of_each),
+    ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", not_in_benchmark),
     ("personal data", without_private),
     ("source mix", mixed_sources),
