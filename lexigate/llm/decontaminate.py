@@ -12,10 +12,11 @@ tells which document positions may hold a benchmark shingle; those go on with th
 them. Their exact counts order the shingles by rarity. A fuller filter lets more positions through
 and changes no result.
 
-Cases: a null or empty text has no words; items without words or with a null id are left out; equal
+Cases: a null or empty text has no words; items without words are left out; the windows of an item
+with a null id hit like any other's, but the item has no id to be listed or counted by; equal
 windows of several items are joined once; an item_id or doc_id that repeats counts per item once
-and per document row; a document whose hits overlap counts each word once; empty tables give no
-hits. Other columns are not read.
+and per document row; a document whose hits overlap counts each word once; a text of any length is
+read whole, as a block of its own; empty tables give no hits. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
                         )
             yield pa.RecordBatch.from_pylist(rows, schema=_WINDOW_SCHEMA)
 
-    return items.filter("item_id is not null").select("item_id", "text").mapInArrow(cut, WINDOWS)
+    return items.select(F.col("item_id").cast("long"), "text").mapInArrow(cut, WINDOWS)
 
 
 _WINDOW_SCHEMA = pa.schema(

@@ -15,9 +15,9 @@ then only the subtrees whose bound can beat it. Inside a subtree pages are taken
 and pages and entries are skipped by |d(q, parent) - d(parent, object)| before any distance to them
 is computed. Bounds are floating point with a margin; scores are exact integers.
 
-Cases: vectors that are null, or hold null or non-finite components, or one whose floor(64 x) needs
-more than 26 bits, take no part; shorter vectors count as padded with zeros; ties go to the smaller
-vec_id (null last), then to the earlier row; a vec_id that repeats is a query per row, and only the
+Cases: vectors that are null, or hold null or non-finite components, take no part; components of any
+size do, and a score that is met beyond a long is an error; shorter vectors count as padded with zeros;
+ties go to the smaller vec_id (null last), then to the earlier row; a vec_id that repeats is a query per row, and only the
 query's own row is left out; an empty table gives no rows; other columns are not read.
 """
 
@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigate.llm.exact import products
 from lexigate.scratch import new_path
 
 SCALE = 64
-LARGEST = 1 << 26
 SUBTREE = 4096
 CELLS = 1024  # routing vectors in the root page, at most
 FANOUT, PAGE = 16, 512
@@ -51,20 +51,26 @@ NULL_ID = np.iinfo(np.int64).max
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
+    """Usable vectors as whole numbers, kept as doubles."""
     usable = (
         "embedding is not null and forall(embedding, x -> x is not null and not isnan(x)"
-        f" and abs(floor({SCALE} * cast(x as double))) < {LARGEST}"
         " and abs(cast(x as double)) < double('infinity'))"
     )
+    scaled = f"{SCALE} * cast(x as double)"
+    # doubles from 2^52 on are whole
+    number = (
+        f"case when abs({scaled}) < {2**52} then cast(floor({scaled}) as double)"
+        f" when abs({scaled}) < double('infinity') then {scaled}"
+        f" else cast(raise_error('{SCALE} times a component is beyond a double') as double) end"
+    )
     return embeddings.filter(usable).selectExpr(
-        "cast(vec_id as bigint) as vec_id",
-        f"transform(embedding, x -> cast(floor({SCALE} * cast(x as double)) as int)) as v",
+        "cast(vec_id as bigint) as vec_id", f"transform(embedding, x -> {number}) as v"
     )
 
 
-def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Rows of packed int32 vectors."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int32).reshape(-1, dim)
+def matrix(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    """Rows of packed vectors."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, dim)
 
 
 def lifted(vectors: np.ndarray, sphere: float) -> np.ndarray:
@@ -108,14 +114,14 @@ def build(points: np.ndarray, routing: np.ndarray) -> Iterator[tuple]:
 class Subtree:
     """The pages of a subtree, for best-first search."""
 
-    def __init__(self, nodes: pa.Table, dim: int, sphere: float):
+    def __init__(self, nodes: pa.Table, dim: int, sphere: float, kind: str):
         self.pages = {}
         self.children: dict[int, list[int]] = {}
         for row in nodes.to_pylist():
             self.children.setdefault(row["parent"], []).append(row["node"])
             page = (row["radius"], row["parent_distance"], np.frombuffer(row["routing"]))
             if row["leaf"]:
-                vectors = np.frombuffer(row["vectors"], np.int32).reshape(-1, dim)
+                vectors = np.frombuffer(row["vectors"], kind).reshape(-1, dim)
                 page += (
                     vectors.astype(np.float64),
                     np.frombuffer(row["ids"], np.int64),
@@ -192,7 +198,7 @@ def exact_products(vectors: np.ndarray, query: np.ndarray, most: float) -> np.nd
     """Integer inner products, no factor pair above ``most``; below 2^53 floats are exact."""
     if most * max(1, len(query)) < 2**53:
         return (vectors @ query).astype(np.int64)
-    return vectors.astype(np.int64) @ query.astype(np.int64)
+    return products(vectors, query[None, :])[:, 0]
 
 
 def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = 20) -> DataFrame:
@@ -208,22 +214,27 @@ def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = 20)
         quantised(embeddings).withColumn("row_key", F.monotonically_increasing_id()), "vectors"
     )
     squared = F.aggregate("v", F.lit(0).cast("double"), lambda a, x: a + x.cast("double") * x)
-    number, dim, sphere = rows.agg(F.count("*"), F.max(F.size("v")), F.max(squared)).first()
+    largest = F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
+    number, dim, sphere, most = rows.agg(
+        F.count("*"), F.max(F.size("v")), F.max(squared), F.max(largest)
+    ).first()
     if not number:
         return spark.createDataFrame(
             [], "query_key bigint, query_id bigint, rank int, vec_id bigint, score bigint"
         )
-    dim, sphere = max(1, dim), float(sphere) + 1.0
+    if not math.isfinite(sphere):
+        raise OverflowError("a vector's squared length is beyond a double")
+    dim, sphere, kind = max(1, dim), float(sphere) + 1.0, "i4" if most < 2**31 else "f8"
     cells = max(1, min(CELLS, math.ceil(number / SUBTREE)))
     centres = (
         rows.groupBy("v").agg(F.xxhash64("v").alias("h")).orderBy("h", "v").limit(cells).collect()
     )
-    routing = lifted(np.array([(r["v"] + [0] * dim)[:dim] for r in centres], dtype=np.int64), sphere)
+    routing = lifted(np.array([(r["v"] + [0] * dim)[:dim] for r in centres], dtype=float), sphere)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = np.array(
-                [(v + [0] * dim)[:dim] for v in batch.column("v").to_pylist()], dtype=np.int32
+                [(v + [0] * dim)[:dim] for v in batch.column("v").to_pylist()], dtype=kind
             ).reshape(-1, dim)
             near = distances(lifted(vectors, sphere), routing)
             cell = near.argmin(1)
@@ -258,7 +269,7 @@ def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = 20)
     at_most = F.element_at(F.create_map(*[F.lit(int(x)) for r in root_page for x in (r[0], r[3])]), F.col("cell"))
 
     def pages(table: pa.Table) -> pa.Table:
-        vectors = matrix(table["packed"], dim)
+        vectors = matrix(table["packed"], dim, kind)
         points = lifted(vectors, sphere)
         ids = table["vec_id"].fill_null(NULL_ID).to_numpy()
         keys = table["row_key"].to_numpy()
@@ -295,7 +306,7 @@ def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = 20)
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                vectors = matrix(batch.column("packed"), dim).astype(np.float64)
+                vectors = matrix(batch.column("packed"), dim, kind).astype(np.float64)
                 points = np.hstack([vectors, np.zeros((len(vectors), 1))])
                 bound = np.maximum(0.0, distances(points, routing[own_cells]) - radii)
                 nearest = np.lexsort((distances(points, routing[own_cells]), bound), axis=1)[:, 0]
@@ -327,8 +338,8 @@ def top_k(embeddings: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = 20)
     def visit(asked: pa.Table, nodes: pa.Table) -> pa.Table:
         made: list[list] = [[], [], [], [], []]
         if asked.num_rows and nodes.num_rows:
-            subtree = Subtree(nodes, dim, sphere)
-            vectors = matrix(asked["packed"], dim).astype(np.float64)
+            subtree = Subtree(nodes, dim, sphere, kind)
+            vectors = matrix(asked["packed"], dim, kind).astype(np.float64)
             for query, key, number, beat in zip(
                 vectors,
                 asked["query_key"].to_pylist(),

@@ -39,20 +39,22 @@ from f
 """
 
 TOP_K = """
-with v as (
-    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+with v as materialized (
+    select row_number() over () as r, vec_id,
+        list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
     from embeddings
     where embedding is not null
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
-    select q.vec_id as query_id, c.vec_id as vec_id,
-        cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
-    from v q join v c on q.vec_id <> c.vec_id
+    select q.r as query, q.vec_id as query_id, c.vec_id as vec_id, c.r as r,
+        cast(list_inner_product(q.v, c.v) as bigint) as score
+    from v q join v c on q.r <> c.r
     where q.vec_id % 20 = 0
-), r as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+), o as (
+    select *, row_number() over (partition by query order by score desc, vec_id nulls last, r) as rank
+    from s
 )
-select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 20
+select query_id, cast(rank as int) as rank, vec_id, score from o where rank <= 20
 """
 
 DECONTAMINATION = r"""
@@ -87,7 +89,7 @@ with dw as (
     ) group by doc_id
 ), items as (
     select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed from (
-        select distinct doc_id, cast(item_id as varchar) as item from found
+        select distinct doc_id, cast(item_id as varchar) as item from found where item_id is not null
     ) group by doc_id
 )
 select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
@@ -140,27 +142,28 @@ from b
 """
 
 HARD_NEGATIVES = """
-with v as (
-    select vec_id,
+with v as materialized (
+    select row_number() over () as r, vec_id,
         case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
     from embeddings
     where embedding is not null and label is not null
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
-    select a.vec_id as anchor_id, c.vec_id as other_id, a.label = c.label as alike,
-        cast(list_inner_product(a.v, c.v) as bigint) as score
-    from v a join v c on a.vec_id <> c.vec_id
+    select a.r as anchor, a.vec_id as anchor_id, c.r as other, c.vec_id as other_id,
+        a.label = c.label as alike, cast(list_inner_product(a.v, c.v) as bigint) as score
+    from v a join v c on a.r <> c.r
     where a.vec_id % 100 = 0
 ), p as (
-    select anchor_id, other_id as positive_id, score as positive_score from s where alike
-    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+    select anchor, other as positive, other_id as positive_id, score as positive_score from s
+    where alike
+    qualify row_number() over (partition by anchor order by score desc, other_id nulls last, other) <= 5
 )
 select anchor_id, positive_id, cast(row_number() over w as int) as rank, other_id as negative_id,
     positive_score, score as negative_score
-from p join s using (anchor_id)
+from p join s using (anchor)
 where not alike and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
-window w as (partition by anchor_id, positive_id order by score desc, other_id)
+window w as (partition by anchor, positive order by score desc, other_id nulls last, other)
 qualify row_number() over w <= 10
 """
 

@@ -19,6 +19,7 @@ from lexigate.llm import (
     secrets,
     simhash,
     suffixes,
+    token_files,
     warc,
 )
 
@@ -104,6 +105,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -122,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_source_mix,
         op10_secret_scan,
         op11_hard_negatives,
+        op12_token_files,
         op13_prefix_trie,
     )
 }

@@ -185,8 +185,10 @@ def test_contamination_matches_plain_version(docs, items):
     for r in items.collect():
         w = bench_words(r.text)
         size = min(10, len(w))
-        for i in range(len(w) - size + 1 if w and r.item_id is not None else 0):
-            windows.setdefault(tuple(w[i : i + size]), set()).add(str(r.item_id))
+        for i in range(len(w) - size + 1 if w else 0):
+            own = windows.setdefault(tuple(w[i : i + size]), set())
+            if r.item_id is not None:
+                own.add(str(r.item_id))
     expected = []
     for r in docs.select("doc_id", "text").collect():
         w, hit, found = bench_words(r.text), set(), set()
@@ -199,6 +201,8 @@ def test_contamination_matches_plain_version(docs, items):
     found = decontaminate.contamination(docs, items)
     columns = ("doc_id", "n_words", "n_hit", "n_items", "item_ids")
     assert collected(found, *columns) == sorted(expected, key=repr)
+    named = decontaminate.contamination(docs, items.filter("item_id is not null"))
+    assert collected(named, *columns) != sorted(expected, key=repr)  # an item without an id hits
     kept = decontaminate.without_contaminated(docs, items)
     assert kept.columns == docs.columns
     assert kept.count() == sum(not e[2] for e in expected)
@@ -409,6 +413,23 @@ def test_top_k_is_exact(spark, monkeypatch):
     assert collected(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
 
 
+def test_top_k_keeps_large_components(spark):
+    rng = random.Random(6)
+    vectors = [[rng.choice([2e6, -3e6, 1.0, 0.25, 2.0**40]), rng.choice([1.0, 2.0**45 + 1, 0.0])] for _ in range(90)]
+    vectors[0], vectors[20], vectors[40], vectors[60], vectors[80] = [1.0, 3.0], [0.5, 0.0], [0.0, 0.0], [1.0, -1.0], [0.0, 2.0]
+    whole = [[math.floor(64 * x) for x in v] for v in vectors]
+    expected = []
+    for number in range(0, 90, 20):
+        scores = sorted((-sum(a * b for a, b in zip(whole[number], whole[j])), j) for j in range(90) if j != number)
+        expected += [(number, r, j, -s) for r, (s, j) in enumerate(scores[:20], 1)]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<double>")
+    found = mtree.top_k(table)
+    assert collected(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+    table = spark.createDataFrame([(0, [2.0**40]), (1, [2.0**41])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="more than 64 bits"):
+        mtree.top_k(table).collect()
+
+
 def test_top_k_returns_all_of_few(spark):
     rows = [(0, [1.0]), (1, [-1.0]), (2, [2.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
