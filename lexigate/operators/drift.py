@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,7 @@ from pyspark.sql import types as T
 from lexigate.operators.scale import ROWS_PER_RANGE, range_edges, running
 
 KS_SERIES_TERMS = 100
+KS_EXACT_ROWS = 10_000  # per side; fixed value: the documented call counts paths up to here
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -155,7 +159,8 @@ def ks_two_sample(
 ) -> DataFrame:
     """Two-sample KS per column: ``(column, ks_statistic, ks_pvalue)``.
 
-    The statistic is exact, the p-value is the asymptotic series.
+    The statistic is exact. So is the p-value if neither side has more than ``KS_EXACT_ROWS`` values;
+    beyond that it is the asymptotic series.
     """
     edges = range_edges(_long(reference, current, columns), "value", rows_per_range)
     return _ks(value_counts(reference, current, columns), edges)
@@ -189,11 +194,50 @@ def _ks(values: DataFrame, edges: Sequence[float]) -> DataFrame:
     )
     n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
     scaled = F.col("ks_statistic") * F.sqrt(n * m / (n + m))
+    exact = _exact_pvalues(F.col("n_reference"), F.col("n_current"), F.col("ks_statistic"))
     return statistic.withColumn("__scaled", scaled).select(
-        "column", "ks_statistic", ks_pvalue(F.col("__scaled")).alias("ks_pvalue")
+        "column",
+        "ks_statistic",
+        F.coalesce(exact, ks_pvalue(F.col("__scaled"))).alias("ks_pvalue"),
     )
 
 
+@F.arrow_udf(T.DoubleType())
+def _exact_pvalues(n: pa.Array, m: pa.Array, statistic: pa.Array) -> pa.Array:
+    """A row per column; null where the samples are too large or there is no statistic."""
+    found = []
+    for a, b, d in zip(n.to_pylist(), m.to_pylist(), statistic.to_pylist(), strict=True):
+        small = d is not None and max(a, b) <= KS_EXACT_ROWS
+        found.append(exact_ks_pvalue(a, b, round(d * math.lcm(a, b))) if small else None)
+    return pa.array(found, pa.float64())
+
+
+def exact_ks_pvalue(n: int, m: int, steps: int) -> float:
+    """Chance that two samples of a continuous law lie ``steps`` / lcm(n, m) or more apart.
+
+    All orders of the pooled sample are equally likely: they are the lattice paths from (0, 0) to
+    (n, m). A path is far at (i, j) if |i / n - j / m| reaches the distance. The share of paths to a
+    point that were far on the way is the mean of its two predecessors' shares, weighed by i and j;
+    only sums of positive numbers occur, so small chances keep their digits. Points further from the
+    diagonal than the distance are far, hence one antidiagonal after another needs a band alone.
+    """
+    if steps <= 0:
+        return 1.0
+    limit, total = steps * math.gcd(n, m), n + m
+    half = limit // total + 2
+    offset = np.arange(2 * half + 2)
+    first, share = -half, np.where(offset == half, 0.0, 1.0)
+    for s in range(1, total + 1):
+        moved = s * n // total - half
+        shift, first = moved - first, moved
+        i = first + offset
+        before = np.concatenate([[1.0], share, [1.0]])
+        left = np.clip(i / s, 0.0, 1.0)
+        share = left * before[shift : shift + len(i)] + (1 - left) * before[shift + 1 : shift + 1 + len(i)]
+        share[np.abs(i * total - s * n) >= limit] = 1.0
+    return float(share[n - first])
+
+
 def ks_pvalue(scaled: Column) -> Column:
     """2 * sum of (-1)^(k-1) exp(-2 k^2 x^2); below x = 0.2 the value is 1 to 12 digits."""
     series = F.lit(0.0)

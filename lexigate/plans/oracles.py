@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lexigate.config import DataRules
-from lexigate.operators.drift import KS_SERIES_TERMS
+from lexigate.operators.drift import KS_EXACT_ROWS, KS_SERIES_TERMS
 from lexigate.plans import inputs
 from lexigate.plans.registered import (
     DOCUMENTED_METRICS,
@@ -354,12 +354,30 @@ gaps as (
           sum(r) over (partition by "column") as n0, sum(c) over (partition by "column") as n1
         from per_value window w as (partition by "column" order by value))
   group by 1),
+sized as (
+  select *, ks_statistic * sqrt(n0::double * n1 / (n0 + n1)) as x, n0 + n1 as n,
+    round(ks_statistic * lcm(n0, n1))::bigint * gcd(n0, n1) as far,
+    (round(ks_statistic * lcm(n0, n1))::bigint * gcd(n0, n1)) // (n0 + n1) + 2 as half
+  from (select "column", ks_statistic, n0::bigint as n0, n1::bigint as n1 from gaps)),
+-- lists are antidiagonals of lattice points, from s * n0 // n - half on
 ks as (
-  select "column", ks_statistic, case when x < 0.2 then 1 else least(1, greatest(0,
+  select "column", ks_statistic, case
+    when greatest(n0, n1) <= {KS_EXACT_ROWS} and far = 0 then 1
+    when greatest(n0, n1) <= {KS_EXACT_ROWS} then list_reduce(
+      list_prepend(list_transform(range(2 * half + 2), lambda k: case when k = half then 0.0 else 1.0 end::double),
+        list_transform(range(1, n + 1), lambda s: [s::double])),
+      lambda v, s: list_transform(range(2 * half + 2), lambda k: case
+        when abs((s[1]::bigint * n0 // n - half + k) * n - s[1]::bigint * n0) >= far then 1.0
+        else greatest(0, least(1, (s[1]::bigint * n0 // n - half + k) / s[1])) * coalesce(v[
+            k + s[1]::bigint * n0 // n - (s[1]::bigint - 1) * n0 // n], 1.0)
+          + greatest(0, least(1, 1 - (s[1]::bigint * n0 // n - half + k) / s[1])) * coalesce(v[
+            k + s[1]::bigint * n0 // n - (s[1]::bigint - 1) * n0 // n + 1], 1.0)
+        end))[half + 1]
+    when x < 0.2 then 1 else least(1, greatest(0,
     2 * list_sum(list_transform(range(1, {KS_SERIES_TERMS + 1}),
       lambda k: (case when k % 2 = 1 then 1 else -1 end) * exp(-2.0::double * k * k * x * x))))) end
     as ks_pvalue
-  from (select *, ks_statistic * sqrt(n0::double * n1 / (n0 + n1)) as x from gaps))"""
+  from sized)"""
 
 
 # ---- audits, registry ----------------------------------------------------------------------
