@@ -8,13 +8,20 @@ give a margin; a logistic fit on held-out candidates calibrates it to a probabil
 added if its probability reaches the kind's threshold, the least one at which held-out candidates
 are right ``PRECISION`` of the time, and if it overlaps neither a base span nor a likelier one.
 
-There are no labels for personal data, so base spans teach: a candidate is positive for a kind if it
-overlaps a base span of it. Training uses the candidates of at most ``MAX_DOCS`` documents in
-expectation, drawn by a hash, and at most ``MAX_CANDIDATES`` of them, in one task; the trees are a
-few thousand numbers. Finding and scoring cover every whole text, in the tasks that read them.
-
-Cases: null and empty texts have no spans; a kind without both positive and negative training
-candidates adds none; a row that repeats gives a row each; an empty table gives no rows; other
+There are no labels for personal data, so base spans teach, but never as they stand, since what can be
+added is what the base rules miss. Each base span of the sample is written in ``VARIANTS`` other ways
+(at and dot in words or brackets, bracketed points, other separators, no plus sign), in its own
+context: candidates that match a rewriting are positives of its kind. Negatives are the candidates
+that stand in the texts beside base spans, and near misses (numbers that fail their checks, versions,
+dates, an at-sign in prose) put between words. A document's rows are all for fitting or all held out,
+if both parts can have enough. A threshold also lets pass at most ``NATURAL`` of the held-out
+candidates that stand in the texts. Training uses at most ``MAX_DOCS`` documents in expectation, drawn
+by a hash, and at most ``MAX_CANDIDATES`` candidates, in one task; the trees are a few thousand
+numbers. Finding and scoring cover every whole text, in the tasks that read them.
+
+Cases: null and empty texts have no spans; a text of any length is read whole; a kind of which the
+sample has hardly any base span (fewer than ``LEAST_ROWS`` rewritings in either part) adds none; a row
+that repeats gives a row each; an empty table gives no rows; other
 columns are left as they are.
 """
 
@@ -22,6 +29,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,8 +46,10 @@ from lexigate.llm.words import blocks, strings
 KINDS = ("email", "ip", "card", "phone")
 MAX_DOCS = 4096
 MAX_CANDIDATES = 40_000
-TREES, DEPTH, RATE, BINS, LEAST_ROWS = 20, 3, 0.3, 32, 20
-PRECISION = 0.95
+VARIANTS, MISSES = 16, 3  # rewritings of a base span, near misses per document
+TREES, DEPTH, RATE, BINS, LEAST_ROWS = 40, 3, 0.3, 32, 20
+PRECISION, NATURAL = 0.95, 0.005
+AROUND = 60  # characters of context that a rewriting keeps
 SEED = 11
 CUES = 64  # hashed places for the word before a candidate
 RESULT = (
@@ -112,9 +122,13 @@ _AT = re.compile(
     r" ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+"
 )
 _GROUPED = re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}")
+# four numbers with points that may be spaced or bracketed
+_QUAD = re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?(?:\.|[(\[](?:\.|dot)[)\]]) ?[0-9]{1,3}){3}(?![0-9])")
+_LAST = re.compile(r"[A-Za-z]*\Z")
 _BEFORE = re.compile(r"(\S+)\s*\Z")
-_DIGITS, _SEPARATORS = frozenset("0123456789"), " -.()"
-FEATURES = 20 + CUES
+_DIGITS, _SEPARATORS = frozenset("0123456789"), " -.()["
+_PLAIN = 27
+FEATURES = _PLAIN + CUES
 
 
 def candidates(text: str) -> list[tuple[bool, int, int]]:
@@ -132,6 +146,7 @@ def candidates(text: str) -> list[tuple[bool, int, int]]:
         plain = re.sub(r"\A[+(]+", "", match[0])
         if len(plain) < len(match[0]):
             found.append((False, match.end() - len(plain), match.end()))
+    found += [(False, *match.span()) for match in _QUAD.finditer(text)]
     return found
 
 
@@ -141,9 +156,9 @@ def describe(text: str, at: bool, start: int, end: int) -> np.ndarray:
     digits = "".join(groups)
     sizes = [len(g) for g in groups] or [0]
     before, after = text[max(0, start - 40) : start], text[end : end + 20]
-    cue = _BEFORE.search(before)
+    cue, last = _BEFORE.search(before), _LAST.search(span)[0]
     word = cue[1].lower().strip(".,;:()[]") if cue else ""
-    row[:20] = (
+    row[:_PLAIN] = (
         at,
         len(span),
         len(digits),
@@ -160,12 +175,118 @@ def describe(text: str, at: bool, start: int, end: int) -> np.ndarray:
         before[-2:].strip()[-1:] == ":",
         sum(c in _DIGITS for c in before),
         sum(c in _DIGITS for c in after),
+        before[-1:].isalnum(),
+        after[:1].isalnum(),
+        len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups),
+        len(last),
+        last.islower(),
+        ". " in span,
     )
     if word and not any(c in _DIGITS for c in word):
-        row[20 + zlib.crc32(word.encode()) % CUES] = 1
+        row[_PLAIN + zlib.crc32(word.encode()) % CUES] = 1
     return row
 
 
+# --- examples ---------------------------------------------------------------------------------
+
+
+def rewritten(kind: str, span: str, rng: random.Random) -> str:
+    """The same personal data in a form that the base rules miss, mostly."""
+    if kind == "email":
+        local, _, domain = span.rpartition("@")
+        # other people and hosts: some without the numbers, first names or subdomains of this one
+        plain = re.sub(r"[0-9]+", "", local).strip(".") or local
+        local = rng.choice([local, plain, plain.split(".")[0] or local, f"{plain[:3]}.{plain[3:]}".strip(".")])
+        labels = [re.sub(r"[0-9]+", "", x) or x for x in domain.split(".")]
+        domain = rng.choice([domain, ".".join(labels), ".".join(labels[-2:]), ".".join([labels[0], "co", "uk"])])
+        at, dots = rng.choice(
+            [(" @ ", " . "), (" @ ", "."), *((a, d) for a in (" (at) ", " [at] ", "(at)", "[at]")
+             for d in (" (dot) ", " [dot] ", "(dot)", "[dot]"))]
+        )
+        return local + at + domain.replace(".", dots)
+    digits = digits_of(span)
+    if kind == "ip":
+        return rng.choice(["[.]", "(.)", " . ", "[dot]", "(dot)", ". "]).join(span.split("."))
+    if kind == "card":
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return rng.choice(["  ", ".", "- ", " -"]).join(groups)
+    area, first, rest = digits[-10:-7], digits[-7:-4], digits[-4:]
+    country = digits[:-10]
+    mark = rng.choice(["-", " ", "."])
+    return rng.choice(
+        [
+            digits,
+            f"00{digits}",
+            mark.join(filter(None, (country, area, first, rest))),
+            f"({area}) {first}{mark}{rest}",
+            mark.join((area, first, rest)),
+        ]
+    )
+
+
+def near_miss(text: str, rng: random.Random) -> str:
+    """What a generator proposes and is no personal data."""
+
+    def digits(n: int) -> str:
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def unlucky() -> str:
+        number = digits(16)
+        return number if not luhn(number) else number[:-1] + str((int(number[-1]) + 1) % 10)
+
+    def words(n: int) -> list[str]:
+        at = rng.randrange(max(1, len(text)))
+        return [w for w in re.findall(r"[A-Za-z]+", text[at : at + 200])[:n]] or ["then"]
+
+    number = unlucky()
+    year, month, day = rng.randrange(1950, 2040), rng.randrange(1, 13), rng.randrange(1, 29)
+    points = rng.choice(["[.]", ".", " . ", "(.)", "[dot]"])
+    said = words(3)
+    return rng.choice(
+        [
+            number,
+            rng.choice(["  ", ".", "- ", " "]).join(number[i : i + 4] for i in range(0, 16, 4)),
+            points.join(str(rng.randrange(256, 1000)) for _ in range(4)),
+            points.join(str(rng.randrange(30)) for _ in range(rng.choice([5, 6]))),
+            f"{year}-{month:02d}-{day:02d} {rng.randrange(24):02d}.{rng.randrange(60):02d}",
+            f"{day:02d}.{month:02d}.{year} {rng.randrange(24):02d}.{rng.randrange(60):02d}",
+            digits(rng.randrange(9, 16)),
+            f"{digits(2)}-{digits(3)}-{digits(3)}",
+            f"{said[0]} @ {said[-1]}. {said[0].title()}",
+            f"{said[0]} (at) {said[-1]}. {said[0].title()}",
+        ]
+    )
+
+
+def examples(text: str) -> Iterator[tuple[np.ndarray, int, bool]]:
+    """(features, kind's number or -1, whether the candidate stands in the text as it is)."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    base = base_spans(text)
+    taken = Taken([span for spans in base for span in spans])
+    for candidate in candidates(text):
+        if not taken.overlaps(*candidate[1:]):
+            yield describe(text, *candidate), -1, True
+    planted = [
+        (k, start, end, rewritten(kind, text[start:end], rng))
+        for k, kind in enumerate(KINDS)
+        for start, end in base[k]
+        for _ in range(VARIANTS)
+    ]
+    for _ in range(MISSES if text.strip() else 0):
+        at = text.find(" ", rng.randrange(len(text)))
+        if at >= 0:
+            planted.append((-1, at + 1, at + 1, f"{near_miss(text, rng)} "))
+    for k, start, end, piece in planted:
+        before = text[max(0, start - AROUND) : start]
+        window = before + piece + text[end : end + AROUND]
+        lo, hi = len(before), len(before) + len(piece.rstrip())
+        own = Taken([span for spans in base_spans(window) for span in spans])
+        for at, a, b in candidates(window):
+            shared = min(b, hi) - max(a, lo)
+            if 2 * shared >= max(b, hi) - min(a, lo) and not own.overlaps(a, b):
+                yield describe(window, at, a, b), k, False
+
+
 class Taken:
     """Spans in order, without overlap; those added that overlap are merged."""
 
@@ -262,8 +383,11 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
     return Trees(*(np.stack(part) for part in zip(*trees)), start, 1.0, 0.0, 2.0)
 
 
-def calibrated(trees: Trees, x: np.ndarray, y: np.ndarray) -> Trees:
-    """Logistic fit of held-out margins, and the least threshold that meets ``PRECISION``."""
+def calibrated(trees: Trees, x: np.ndarray, y: np.ndarray, natural: np.ndarray | None = None) -> Trees:
+    """Logistic fit of held-out margins, and the least threshold that meets ``PRECISION``.
+
+    Of the rows marked ``natural``, at most a share of ``NATURAL`` may reach it.
+    """
     margin = trees.margin(x)
     target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
     slope, offset = 1.0, 0.0
@@ -285,6 +409,9 @@ def calibrated(trees: Trees, x: np.ndarray, y: np.ndarray) -> Trees:
     last = np.append(p[order][1:] != p[order][:-1], True)
     good = np.flatnonzero((right >= PRECISION) & last)
     threshold = max(0.5, float(p[order][good[-1]])) if len(good) else 2.0
+    if natural is not None and natural.any():
+        most = np.sort(p[natural])[::-1][int(NATURAL * natural.sum())]
+        threshold = max(threshold, float(np.nextafter(most, 2)))
     return trees._replace(threshold=threshold)
 
 
@@ -302,17 +429,12 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> list[Trees | None]:
             for _, data, offsets in blocks(batch.column(0)):
                 rows, labels = [], []
                 for text in strings(data, offsets):
-                    proposed = candidates(text)
-                    base = [Taken(spans) for spans in base_spans(text)] if proposed else []
-                    for at, start, end in proposed:
-                        rows.append(describe(text, at, start, end))
-                        labels.append([taken.overlaps(start, end) for taken in base])
+                    held = zlib.crc32(text[:1000].encode("utf-8", "replace"), len(text)) % 3 == 0
+                    for x, kind, natural in examples(text):
+                        rows.append(x.tobytes())
+                        labels.append(kind + 1 | natural << 3 | held << 4)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r.tobytes() for r in rows], pa.binary()),
-                        pa.array([sum(1 << k for k, v in enumerate(l) if v) for l in labels], pa.int64()),
-                    ],
-                    names=["x", "y"],
+                    [pa.array(rows, pa.binary()), pa.array(labels, pa.int64())], names=["x", "y"]
                 )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,12 +442,16 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> list[Trees | None]:
         if not table.num_rows:
             return
         x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
-        held = np.arange(len(x)) % 3 == 0
+        marks = table["y"].to_numpy()
+        natural = marks & 8 > 0
         for k, kind in enumerate(KINDS):
-            y = (table["y"].to_numpy() >> k & 1).astype(float)
+            y = ((marks & 7) == k + 1).astype(float)
+            held = marks & 16 > 0
+            if min(y[held].sum(), y[~held].sum()) < LEAST_ROWS:
+                held = np.arange(len(x)) % 3 == 0  # too few documents to hold some out
             if min(y[held].sum(), y[~held].sum()) < LEAST_ROWS or y.all():
                 continue
-            trees = calibrated(boost(x[~held], y[~held]), x[held], y[held])
+            trees = calibrated(boost(x[~held], y[~held]), x[held], y[held], natural[held])
             numbers = [*trees[:3], np.array(trees[3:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([kind]), pa.array([[n.astype(float).ravel().tolist() for n in numbers]])],

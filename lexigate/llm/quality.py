@@ -6,12 +6,13 @@ places, weighted by the log of their count and scaled to unit length. A score is
 product of these with the weights, through a sigmoid. Labels, language, source and ids are never
 features.
 
-Training reads a sample of at most ``MAX_ROWS`` labelled documents in expectation, drawn by a hash
-of their ids, as sparse rows; one task runs the sequential updates over it and returns the
-non-zero weights, of which there are at most ``BUCKETS``. Scoring covers every document, in the
-tasks that read them.
+Training reads a sample of labelled documents, drawn by a hash of their ids, as sparse rows: at most
+``MAX_ROWS`` of them, and ``MAX_BYTES`` of text at the tables' mean length, both in expectation. One
+task runs the sequential updates over it and returns the non-zero weights, of which there are at most
+``BUCKETS``. Scoring covers every document, in the tasks that read them.
 
-Cases: null and empty texts score by the bias alone; unlabelled documents and labels that are null
+Cases: null and empty texts score by the bias alone; a text of any length is scored whole, as a block
+of its own; unlabelled documents and labels that are null
 do not train; a document labelled more than once has the majority's label (ties: 1); a doc_id that
 repeats trains once per row; without any training row every score is 0.5; an empty table gives no
 rows; other columns are left as they are.
@@ -31,7 +32,7 @@ from lexigate.llm.words import NOT_SPACE, Words, blocks, hashed_words, mixed, sh
 
 BITS = 18
 BUCKETS = 1 << BITS
-MAX_ROWS = 16_384  # of the training sample
+MAX_ROWS, MAX_BYTES = 16_384, 128 << 20  # of the training sample
 EPOCHS = 8  # passes over the sample, more if they make fewer than LEAST_UPDATES
 LEAST_UPDATES = 16_384
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.2, 0.5  # of the updates
@@ -132,7 +133,9 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % FOLDS
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+) -> Model:
     """Fit on the labelled documents that are not held out."""
     known = (
         labels.filter("quality is not null and doc_id is not null")
@@ -141,10 +144,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
         .filter(fold(F.col("doc_id")) != HELD)
     )
     total = known.count()
-    part = min(1.0, max_rows / max(total, 1))
-    share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) < int(part * (1 << 20))
+    mean = docs.agg(F.avg(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0.0
+    part = min(1.0, max_rows / max(total, 1), max_bytes / max(total * mean, 1.0))
+    draw = F.xxhash64(F.lit(SEED), "doc_id")
+    share = F.pmod(draw, F.lit(1 << 20)) < int(part * (1 << 20))
     # a side of about max_rows short rows, whatever the number of labels
-    sample = F.broadcast(known.filter(share).limit(2 * max_rows))
+    sample = F.broadcast(known.filter(share).orderBy(draw, "doc_id").limit(2 * max_rows))
     chosen = docs.select("doc_id", "text").join(sample, "doc_id")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return docs.select(
         "doc_id",
-        (quality.fold(F.col("doc_id")) == quality.HELD).alias("held_out"),
+        F.coalesce(quality.fold(F.col("doc_id")) == quality.HELD, F.lit(False)).alias("held_out"),
         quality.quality_score(F.col("text"), model).alias("score"),
     ).withColumn("predicted", (F.col("score") >= QUALITY_LEAST).cast("int"))
 
