@@ -17,8 +17,8 @@ File names are new in every task attempt, and only those that a finished task re
 an attempt that was lost or doubled leaves an unused file at most. Files go to the shared folder by
 its URI, through Arrow's file systems. The tokenizer's description, a few MB, is sent to the tasks.
 
-Words are tokenised once per task's cache of ``CACHED`` words: the tokenizers this is for drop white
-space and never join across it (``words_apart``); for others whole texts are encoded.
+Words are tokenised once per worker's cache of about twice ``CACHED`` words, for tokenizers that take
+them one by one (``plain_words``, which is tried on a phrase); for others whole texts are encoded.
 
 Cases: null and empty texts have the end id alone; a null doc_id sorts last and stays null; rows of
 equal id are in the order of their texts' hash, then their place; a text of any length is one
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -48,9 +49,12 @@ from lexigate.scratch import new_path
 END = 1
 SHARD_IDS = 1 << 20
 FILE_BYTES = 256 << 20
-TEXT_BYTES = 1 << 21  # of text tokenised at once; a longer single text is taken alone
-CACHED = 300_000
-LEAST, PER_ROUND, GAIN = 8, 8192, 0.02
+TEXT_BYTES = 1 << 23  # of text tokenised at once; a longer single text is taken alone
+CACHED = 500_000
+# letters that are one letter each when small, and a tail of punctuation
+LATIN_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+JOINED = 100
+LEAST, PER_ROUND, GAIN = 8, 16_384, 0.03
 SYMBOLS = 1 << 16  # that fit two bytes
 MAGIC = b"LXREPAIR"
 HEADER = struct.Struct("<8sHHIQQQQ")
@@ -66,15 +70,30 @@ DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class Encoder:
-    """Ids of whole texts; words that it has seen are looked up."""
+    """Ids of whole texts; words that it has seen are looked up.
 
-    def __init__(self, description: str, words_apart: bool, cached: int = CACHED):
+    ``plain_words``: the tokenizer drops white space, ignores case, and never joins across white
+    space or letters with punctuation. Then a text's ids are those of its words, and a word of Latin
+    letters and a tail of punctuation is looked up as the two, its letters small.
+    """
+
+    def __init__(self, description: str, plain_words: bool, cached: int = CACHED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
-        self.words_apart, self.cached = words_apart, cached
+        self.plain_words, self.cached = plain_words, cached
+        # what was looked up lately, and what was before that
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        ends = json.loads(description)["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values(), default=0), dtype=bool)
+        if ends:
+            self.ends[[i for word, i in self.tokenizer.get_vocab(False).items() if word.endswith(ends)]] = True
+        if plain_words:
+            whole, *parts = self._encoded(["Say it.", "say", "it", "."])
+            if whole != b"".join(parts):
+                raise ValueError("this tokenizer tells case, white space or joined punctuation apart")
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -82,44 +101,77 @@ class Encoder:
         ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are letters alone; a hundred at once, cut where a word's last token is."""
+        found: list[bytes] = []
+        lines = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        coded = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+        for line, one in zip(lines, coded, strict=True):
+            ids = np.array(one.ids, dtype=np.uint32)
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(line) or cuts[-1] != ids.nbytes:
+                found += self._encoded(line)
+                continue
+            raw = ids.tobytes()
+            found += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+        return found
+
     def _words(self, words: list[str]) -> list[bytes]:
         if len(self.known) > self.cached:
-            self.known.clear()
-        fresh = [w for w in words if w not in self.known]
-        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
-        return list(map(self.known.__getitem__, words))
+            self.known, self.older = {}, self.known
+        known, older, shaped = self.known, self.older, LATIN_WORD.fullmatch
+        known.update({w: older[w] for w in words if w in older and w not in known})
+        asked, split = set(), []
+        for w in words:
+            if w not in known:
+                found = shaped(w)
+                low = found[1].lower() if found else w
+                if low == w:
+                    asked.add(w)
+                else:
+                    split.append((w, low, found[2]))
+                    asked.add(low)
+                    asked.add(found[2])
+        fresh = [w for w in asked if w not in known]
+        letters = [w for w in fresh if (found := shaped(w)) and not found[2]]
+        known.update(zip(letters, self._letters(letters), strict=True))
+        fresh = [w for w in fresh if w not in known]
+        known.update(zip(fresh, self._encoded(fresh), strict=True))
+        known.update({w: known[low] + known[tail] for w, low, tail in split})
+        return [known[w] for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by the end id; number of ids of each)."""
-        if self.words_apart:
+        if self.plain_words:
             split = pc.ascii_split_whitespace(texts)
             edges = split.offsets.to_numpy()
             coded = split.flatten().dictionary_encode()
-            parts = self._words(coded.dictionary.to_pylist())
+            parts = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             place = coded.indices.to_numpy()
             edges = edges - edges[0]
         else:
             parts = self._encoded(texts.to_pylist())
             place, edges = np.arange(len(parts)), np.arange(len(parts) + 1)
         flat = np.frombuffer(b"".join(parts), dtype=np.uint32)
-        size = np.array([len(p) // 4 for p in parts], dtype=np.int64)
+        size = np.array([len(p) >> 2 for p in parts], dtype=np.int64)
         begin = np.cumsum(size) - size
         length = size[place]
         after = np.cumsum(length)
-        ids = flat[np.arange(int(length.sum())) + np.repeat(begin[place] - (after - length), length)]
         total = np.concatenate([[0], after])[edges]
+        shift = begin[place] - (after - length)
+        ids = flat[np.arange(int(total[-1])) + np.repeat(shift, length)]
         return np.insert(ids, total[1:], END), np.diff(total) + 1
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _encoder(description: str, words_apart: bool) -> Encoder:
+def _encoder(description: str, plain_words: bool) -> Encoder:
     """One per worker process and tokenizer: words known from earlier tasks stay known."""
-    key = (zlib.crc32(description.encode()), len(description), words_apart)
+    key = (zlib.crc32(description.encode()), len(description), plain_words)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(description, words_apart)
+        _ENCODERS[key] = Encoder(description, plain_words)
     return _ENCODERS[key]
 
 
@@ -272,7 +324,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def write_shards(
-    docs: DataFrame, folder: str, description: str, words_apart: bool = True, shard_ids: int = SHARD_IDS
+    docs: DataFrame, folder: str, description: str, plain_words: bool = True, shard_ids: int = SHARD_IDS
 ) -> DataFrame:
     """Write all ids in the order of ``doc_id``; a row per shard. Evaluate it once."""
     spark = docs.sparkSession
@@ -282,7 +334,7 @@ def write_shards(
     sent = spark.sparkContext.broadcast(description)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent.value, words_apart)
+        encoder = _encoder(sent.value, plain_words)
         held: list[tuple] = []
         out = path = None
         offset = place = first = waiting = 0
@@ -391,11 +443,11 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     return shards.repartition(tasks, "path", "offset").mapInArrow(read, DOCUMENTS)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, words_apart: bool = True, shard_ids: int = SHARD_IDS) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, plain_words: bool = True, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the ids of all documents to the shared folder and read them back."""
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         description = file.read()
     folder, path = new_path(spark, "token-files"), new_path(spark, "token-manifest")
-    write_shards(docs, folder, description, words_apart, shard_ids).write.parquet(path)
+    write_shards(docs, folder, description, plain_words, shard_ids).write.parquet(path)
     return read_documents(spark.read.parquet(path))

@@ -25,7 +25,7 @@ TEXTS = [
     "日本語 テキスト 🙂🙂 ‍ x",
     "spam " * 5000,
     "aaaa" * 3000,
-    "end. (end) end, End!! ...",
+    "end. (end) end, End!! ... İstanbul. İİ, ÉTÉ. Été, J̌. straße! ŉ. Ǆ, Σ. ǅ; ĳ: Ŀ? ..!",
 ]
 
 
@@ -80,7 +80,7 @@ def test_empty_table_gives_no_rows(spark):
 def test_tokenizers_that_keep_spaces_take_whole_texts(spark):
     rows = list(enumerate(TEXTS[1:]))
     frame = spark.createDataFrame([(*r, 1, "x", 0.5) for r in rows], SCHEMA)
-    assert sorted(collected(tf.round_trip(frame, BYTE_PATH, words_apart=False))) == plain(rows, BYTE_PATH)
+    assert sorted(collected(tf.round_trip(frame, BYTE_PATH, plain_words=False))) == plain(rows, BYTE_PATH)
 
 
 def test_very_long_text_is_one_document(spark):
@@ -99,6 +99,11 @@ def test_cache_of_words_may_be_small():
         assert ids.tolist() == own + [1] + own and counts.tolist() == [len(own), 1, len(own)]
 
 
+def test_tokenizers_that_tell_case_apart_are_refused():
+    with open(BYTE_PATH, encoding="utf-8") as file, pytest.raises(ValueError, match="apart"):
+        tf.Encoder(file.read(), True)
+
+
 @pytest.mark.parametrize("base", [50, 49_408, 70_000])
 def test_grammar_is_lossless_and_shrinks_repeats(base):
     rng = np.random.default_rng(3)
