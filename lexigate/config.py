@@ -49,7 +49,7 @@ class ModelConfig:
 class TrainingConfig:
     cv_folds: int = 5
     scoring: str = "f1_weighted"
-    # folds fitted side by side; each keeps its own copy of the training blocks
+    # folds fitted side by side where they share no passes (forests, more than two classes)
     parallelism: int = 5
 
 
