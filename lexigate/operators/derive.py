@@ -46,4 +46,4 @@ def token_column(df: DataFrame, text_column: str):
         return tx.tokens(F.col(clean))
     if text_column in df.columns:
         return tx.raw_tokens(F.col(text_column))
-    raise ValueError(f"Missing required text column: {text_column}")
+    raise ValueError(f"No text column {text_column} to take tokens from; rename yours or pass its name")
