@@ -121,16 +121,54 @@ def test_csv_files_with_another_header_order_fail(spark, tmp_path):
             csv_source.read_csv(spark, str(tmp_path), schema=schema).collect()
 
 
-def test_large_csv_files_can_be_split(spark, tmp_path):
-    lines = [f'"text, {i}",positive' for i in range(2000)]
+CSV_ROWS = [
+    b'plain,positive', b'"a, b","neg\native"', b'"two\r\nlines ""said"" she",x', b'5" pipe,"y', b'\n\n"",z"',
+    b'"ends with quote""",""', b',', b'"cut"off,"q"', "\u00e4\u00f6,\u2028".encode(), b'"\n\n\n",a',
+]
+
+
+@pytest.mark.parametrize("ending", [b"\n", b"\r\n"])
+def test_csv_blocks_give_the_rows_of_whole_files(spark, tmp_path, ending):
+    """Whatever byte a block ends at, rows are those that Spark reads in one task per file, and line
+    breaks in fields stay as they are."""
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "split").mkdir()
+    plain = b"\n".join([b"review_text,sentiment", *CSV_ROWS])
+    body = ending.join([b"review_text,sentiment", *CSV_ROWS])
+    for folder, content, end in (("whole", plain, b"\n"), ("split", body, ending)):
+        (tmp_path / folder / "a.csv").write_bytes(content + end)
+        # byte order mark, no last line end
+        (tmp_path / folder / "b.csv").write_bytes(b"\xef\xbb\xbf" + content)
+    schema = "review_text string, sentiment string"
+    whole = spark.read.csv(
+        str(tmp_path / "whole"), schema=schema, header=True, quote='"', escape='"', multiLine=True
+    )
+    broken = f"y{ending.decode()}\n\n\",z"
+    wanted = [
+        (row[0], broken if row[1] == 'y\n\n\n",z' else row[1]) for row in whole.collect()
+    ]
+    wanted.sort(key=repr)
+    assert len(wanted) == 18
+    for size in (7, 33, 10_000):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            found = csv_source.read_csv(
+                spark, str(tmp_path / "split"), schema=schema, null_words=False
+            )
+            assert sorted(map(tuple, found.collect()), key=repr) == wanted, size
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_large_csv_files_are_split(spark, tmp_path):
+    lines = [f'"text,\n {i}",{i}' for i in range(2000)]
     (tmp_path / "a.csv").write_text("\n".join(["review_text,sentiment", *lines]) + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        whole = csv_source.read_csv(spark, str(tmp_path / "a.csv"))
-        parts = csv_source.read_csv(spark, str(tmp_path / "a.csv"), multi_line=False)
-        assert whole.select(F.spark_partition_id()).distinct().count() == 1
-        assert parts.select(F.spark_partition_id()).distinct().count() > 1
-        assert sorted(parts.collect()) == sorted(whole.collect())
+        rows = csv_source.read_csv(spark, str(tmp_path / "a.csv"))
+        assert dict(rows.dtypes) == {"review_text": "string", "sentiment": "int"}
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1
+        assert sorted(rows.collect()) == sorted((f"text,\n {i}", i) for i in range(2000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
