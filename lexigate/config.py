@@ -43,6 +43,11 @@ class ModelConfig:
     n_estimators: int = 200
     max_depth: int = 20
     min_samples_split: int = 5
+    # of the svm: rbf or linear; gamma is scale, auto or a number
+    kernel: str = "rbf"
+    gamma: str | float = "scale"
+    # random features that stand for the rbf kernel, an even number
+    components: int = 1024
 
 
 @dataclass(frozen=True)

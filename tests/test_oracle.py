@@ -28,6 +28,6 @@ def test_comparison_notices_a_difference(spark, connection):
 
 def test_only_fitted_models_lack_sql():
     assert set(registered.QUERIES) - set(SQL) == {
-        "train_lr", "train_rf", "train_svm", "cv_scores", "training_metrics", "batch_scoring",
-        "run_summary", "stream_scoring",
+        "train_lr", "train_rf", "train_svm", "train_svm_rbf", "cv_scores", "training_metrics",
+        "batch_scoring", "run_summary", "stream_scoring",
     }
