@@ -8,7 +8,7 @@ that is shuffled.
 
 A field is quoted if a quote is its first character; it ends at the next quote that is not doubled.
 Lines end with LF or CRLF, which within a field are kept as they are; a file with bare CR is one line.
-Empty lines are no records. Files are told by a 64-bit hash of their path.
+Empty lines are no records, before the header neither. Files are told by a 64-bit hash of their path.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ CLOSING = re.compile(rb'(?:[^"]++|"")*+"')  # what is left of a quoted field
 BATCH_BYTES = 4 << 20
 PINNED = "spark.sql.files.minPartitionNum"
 
-SHAPES = "file bigint, start bigint, ends_0 boolean, ends_1 boolean, closes_0 boolean, closes_1 boolean"
+SHAPES = "file bigint, start bigint, ends_0 boolean, ends_1 boolean, closes_0 boolean, closes_1 boolean, filled boolean"
 PIECES = "file bigint, origin bigint, start bigint, first boolean, record binary"
+HEADER = -1  # in place of the block where a record began: the block holds the header
 Key = tuple[int, int]
 
 
@@ -71,27 +72,32 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Key, list[bytes]]
 
 
 def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block and beginning (outside, inside): does it end inside, does any line end outside."""
+    """Per block and beginning (outside, inside): does it end inside, does any line end outside; is any line not empty."""
     found: list[tuple] = []
-    key, ends, closes = None, [False, True], [False, False]
+    key, ends, closes, filled = None, [False, True], [False, False], False
     for following, lines in _runs(batches):
         if following != key:
             if key is not None:
-                found.append((*key, *ends, *closes))
-            key, ends, closes = following, [False, True], [False, False]
+                found.append((*key, *ends, *closes, filled))
+            key, ends, closes, filled = following, [False, True], [False, False], False
+        filled = filled or any(line.removesuffix(b"\r") for line in lines)
         for line in lines:
             ends = [ends_inside(line, ends[0]), ends_inside(line, ends[1])]
             closes = [closes[0] or not ends[0], closes[1] or not ends[1]]
     if key is not None:
-        found.append((*key, *ends, *closes))
+        found.append((*key, *ends, *closes, filled))
         names = [column.split()[0] for column in SHAPES.split(", ")]
         yield pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in found])
 
 
 def _chained(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Blocks of a file that begin inside a field, and the block in which that record began."""
-    found, inside, origin = [], False, 0
+    """Blocks of a file that begin inside a field, and the block in which that record began; also the
+    one with the header if only empty lines stand before it."""
+    found, inside, origin, empty = [], False, 0, True
     for row in blocks.sort_values("start").itertuples():
+        if empty and row.filled and row.start:
+            found.append((row.file, row.start, HEADER))
+        empty = empty and not row.filled
         if inside:
             found.append((row.file, row.start, origin))
         ends, closes = (row.ends_1, row.closes_1) if inside else (row.ends_0, row.closes_0)
@@ -123,7 +129,9 @@ def _assemble(begun: dict[Key, int]):
                     add(key[1] if origin is None else origin, b"\n".join(parts))
                 key, parts = following, []
                 origin = begun.get(key)
-                inside, first = origin is not None, not key[1]
+                first = origin == HEADER or not key[1]
+                origin = None if origin == HEADER else origin
+                inside = origin is not None
             for line in lines:
                 parts.append(line)
                 inside = ends_inside(line, inside)
@@ -163,7 +171,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     header.
 
     Files are read twice and their records written once, to the shared folder. Blocks that begin inside
-    a field are listed for all tasks, as three numbers each: every one has a whole block before it, so
+    a field, and headers after a block of empty lines, are listed for all tasks, as three numbers each: every one has a whole block before it, so
     there are at most as many as the input has times ``spark.sql.files.maxPartitionBytes`` (100 TB by
     128 MB: 800,000). No files or empty ones: no rows.
     """

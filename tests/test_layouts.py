@@ -139,6 +139,7 @@ def test_csv_blocks_give_the_rows_of_whole_files(spark, tmp_path, ending):
         (tmp_path / folder / "a.csv").write_bytes(content + end)
         # byte order mark, no last line end
         (tmp_path / folder / "b.csv").write_bytes(b"\xef\xbb\xbf" + content)
+        (tmp_path / folder / "c.csv").write_bytes(end * 40 + content)  # empty lines before the header
     schema = "review_text string, sentiment string"
     whole = spark.read.csv(
         str(tmp_path / "whole"), schema=schema, header=True, quote='"', escape='"', multiLine=True
@@ -148,7 +149,7 @@ def test_csv_blocks_give_the_rows_of_whole_files(spark, tmp_path, ending):
         (row[0], broken if row[1] == 'y\n\n\n",z' else row[1]) for row in whole.collect()
     ]
     wanted.sort(key=repr)
-    assert len(wanted) == 18
+    assert len(wanted) == 27
     for size in (7, 33, 10_000):
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
         try:
@@ -160,6 +161,23 @@ def test_csv_blocks_give_the_rows_of_whole_files(spark, tmp_path, ending):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_odd_csv_files(spark, tmp_path):
+    """Too few and too many cells, a quote that is never closed, no rows, no bytes, clashing names."""
+    (tmp_path / "a.csv").write_text('review_text,sentiment,odd `name`\nfine\nbad,negative,1,2\n"open,x\n\ny')
+    (tmp_path / "b.csv").write_text('"review_text",Sentiment,odd `name`\r\n')
+    (tmp_path / "c.csv").write_text("")
+    found = csv_source.read_csv(spark, str(tmp_path))
+    assert found.columns == ["review_text", "sentiment", "odd `name`"]
+    whole = spark.read.csv(
+        str(tmp_path / "a.csv"), schema=found.schema, header=True, quote='"', escape='"', multiLine=True
+    )
+    rows = sorted(map(tuple, found.collect()), key=repr)
+    assert rows == sorted(map(tuple, whole.collect()), key=repr)
+    assert [row[:2] for row in rows] == [
+        ("bad", "negative"), ("fine", None), ("open,x\n\ny", None),
+    ]
+
+
 def test_large_csv_files_are_split(spark, tmp_path):
     lines = [f'"text,\n {i}",{i}' for i in range(2000)]
     (tmp_path / "a.csv").write_text("\n".join(["review_text,sentiment", *lines]) + "\n")
