@@ -1,11 +1,18 @@
 """Document likelihood under a unigram model over subwords, summed over all segmentations.
 
-The vocabulary is an existing tokenizer's file (``vocabulary``, a parameter); nothing in it is
-trained. Its scores rank the pieces, and a piece of rank r has probability proportional to
-1 / (r + 2.7), pieces for single bytes ranking last. A word is spelled by every segmentation into
-pieces, with bytes standing in for characters that the vocabulary lacks; a forward recursion in log
-space adds them up. Pieces never cross words, so a text's log probability is the sum over its words
-plus the end symbol's, and each distinct word is worked out once.
+The vocabulary is an existing tokenizer's file (``vocabulary``, a parameter). Its scores rank the
+pieces, and a piece of rank r has probability proportional to 1 / (r + 2.7), pieces for single bytes
+ranking last. A word is spelled by every segmentation into pieces, with bytes standing in for
+characters that the vocabulary lacks; a forward recursion adds them up. Pieces never cross words, so a
+text's log probability is the sum over its words plus the end symbol's, and each distinct word is
+worked out once.
+
+With ``fitted`` the training rows teach it. Each distinct training token is spelled by the ranks'
+probabilities, and the pieces' expected numbers of uses, by a forward and a backward recursion over all
+of them, plus ``PRIOR`` uses a piece dealt by rank, are the new probabilities. Every training token is
+then a piece of its own besides: with c its count, N that of all, T one more than the distinct ones and q
+its spelled probability, a token has probability (c + T * q) / (N + T). Without training rows c and N are 0
+and the ranks' probabilities stay.
 
 From the corpus come the tokens with their counts. A token is told by a 64-bit hash of its bytes.
 Tokens that make up at least one in ``HEAD`` of all tokens (so at most ``HEAD`` of them) go to every
@@ -19,8 +26,9 @@ other columns are not read.
 
 from __future__ import annotations
 
+import copy
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +44,9 @@ HEAD = 1 << 20
 RANK_SHIFT = 2.7
 SPACE = "▁"
 HELD_OUT, FOLDS = 2, 7
+PRIOR = 0.1
+SHORT, LEAST, NO_SHARE = 40, 1e-280, 1e-12  # letters and probability that doubles hold; a share left out
+_UNIT = 1 << 24  # uses are added up in whole numbers of this fraction, in any order alike
 _KEPT = 1 << 20  # distinct tokens that a task holds before it passes them on
 
 
@@ -58,15 +69,60 @@ class Lattice:
         byte = {b: 1 / (last + k + RANK_SHIFT) for k, b in enumerate(sorted(single), 1)}
         end = 1 / (1 + RANK_SHIFT)
         total = sum(weights.values()) + sum(byte.values()) + end
-        self.pieces = {piece: math.log(w / total) for piece, w in weights.items()}
-        least = math.log(1 / (last + 256 + RANK_SHIFT) / total)
-        self.bytes = [math.log(byte[b] / total) if b in byte else least for b in range(256)]
+        least = 1 / (last + 256 + RANK_SHIFT)
+        self._set([w / total for w in weights.values()], [byte.get(b, least) / total for b in range(256)], weights)
         self.end = math.log10(end / total)
         self.longest = max(map(len, self.pieces), default=1)
 
+    def _set(self, pieces: Iterable[float], single: Iterable[float], names: Iterable[str]) -> None:
+        self.chance, self.byte_chance = dict(zip(names, pieces, strict=True)), list(single)
+        self.pieces = {piece: math.log(p) for piece, p in self.chance.items()}
+        self.bytes = [math.log(p) for p in self.byte_chance]
+        # of every beginning of a piece, 0 where it is none itself: a search ends where there is no entry
+        self.beginnings = {piece[:k]: 0.0 for piece in self.chance for k in range(1, len(piece))} | self.chance
+        self.letters: dict[str, float] = {}
+
+    def taught(self, uses: np.ndarray) -> Lattice:
+        """The same pieces by their expected uses: of the pieces in order, then of the 256 bytes."""
+        ranked = np.array([*self.chance.values(), *self.byte_chance])
+        weights = uses + PRIOR * len(ranked) * ranked / ranked.sum()
+        weights *= (1 - 10**self.end) / weights.sum()
+        found, many = copy.copy(self), len(self.chance)
+        found._set(weights[:many].tolist(), weights[many:].tolist(), self.chance)
+        return found
+
+    def _spelled(self, letter: str) -> float:
+        if (chance := self.letters.get(letter)) is None:
+            chance = math.prod(self.byte_chance[b] for b in letter.encode("utf-8", "replace"))
+            self.letters[letter] = chance
+        return chance
+
     def word(self, word: str) -> float:
         """Log10 of the summed probability of all segmentations of a word after a space."""
-        text, find = SPACE + word, self.pieces.get
+        text = SPACE + word
+        if len(text) <= SHORT and (found := self._forward(text)[-1]) > LEAST:
+            return math.log10(found)
+        return self._log_forward(text)[-1] / math.log(10)
+
+    def _forward(self, text: str) -> list[float]:
+        """Summed probabilities of all ways to each place."""
+        find, letters, size = self.beginnings.get, self.letters, len(text)
+        forward = [1.0, *[0.0] * size]
+        for start in range(size):
+            here, letter = forward[start], text[start]
+            if (spelled := letters.get(letter)) is None:
+                spelled = self._spelled(letter)
+            forward[start + 1] += here * spelled
+            for stop in range(start + 1, size + 1):
+                if (chance := find(text[start:stop])) is None:
+                    break
+                if chance:
+                    forward[stop] += here * chance
+        return forward
+
+    def _log_forward(self, text: str) -> list[float]:
+        """The same in logarithms, for texts that a double cannot hold."""
+        find = self.pieces.get
         forward = [0.0]
         for stop in range(1, len(text) + 1):
             ways = [
@@ -80,7 +136,48 @@ class Lattice:
             forward.append(
                 top if len(ways) == 1 else top + math.log(sum(math.exp(w - top) for w in ways))
             )
-        return forward[-1] / math.log(10)
+        return forward
+
+    def add_uses(self, word: str, uses: dict[str, float], spelled: dict[str, float]) -> None:
+        """Add the expected numbers of pieces and of letters taken by their bytes that a segmentation of
+        the word has."""
+        text = SPACE + word
+        if len(text) <= SHORT and (forward := self._forward(text))[-1] > LEAST:
+            self._add_short(text, forward, uses, spelled)
+            return
+        forward, find = self._log_forward(text), self.pieces.get
+        reached = [0.0] * len(text) + [1.0]  # the share of segmentations that cut at a place
+        for stop in range(len(text), 0, -1):
+            share, here = reached[stop], forward[stop]
+            left = share
+            for start in range(max(0, stop - self.longest), stop):
+                piece = text[start:stop]
+                if (score := find(piece)) is not None:
+                    use = share * math.exp(forward[start] + score - here)
+                    reached[start] += use
+                    uses[piece] = uses.get(piece, 0.0) + use
+                    left -= use
+            if left > NO_SHARE:  # the rest of them take the last letter by its bytes
+                reached[stop - 1] += left
+                letter = text[stop - 1]
+                spelled[letter] = spelled.get(letter, 0.0) + left
+
+    def _add_short(self, text: str, forward: list[float], uses: dict[str, float], spelled: dict[str, float]) -> None:
+        find, size = self.beginnings.get, len(text)
+        backward = [*[0.0] * size, 1 / forward[size]]
+        for start in range(size - 1, -1, -1):
+            here, letter = forward[start], text[start]
+            total = self.letters[letter] * backward[start + 1]
+            spelled[letter] = spelled.get(letter, 0.0) + here * total
+            for stop in range(start + 1, size + 1):
+                piece = text[start:stop]
+                if (chance := find(piece)) is None:
+                    break
+                if chance:
+                    way = chance * backward[stop]
+                    total += way
+                    uses[piece] = uses.get(piece, 0.0) + here * way
+            backward[start] = total
 
 
 @lru_cache(maxsize=2)
@@ -159,40 +256,103 @@ def _sliced(batch: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([c.slice(lo, rows) for c in columns], batch.schema.names)
 
 
-def vocabulary_scores(counts: DataFrame, vocabulary: str) -> DataFrame:
-    """``token, n, n_train, weight``: counts with a token's log10 probability."""
+def vocabulary_scores(
+    counts: DataFrame, vocabulary: str, uses: np.ndarray | None = None, kinds: int = 0
+) -> DataFrame:
+    """``token, n, n_train, weight``: counts with a token's log10 probability. Given the ``uses`` of
+    pieces, that of a token whose count it is not yet divided by: log10(c + kinds * q)."""
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(vocabulary)
+        if uses is not None:
+            model = model.taught(uses)
         for batch in batches:
             words = (w.decode("utf-8", "replace") for w in batch.column("word").to_pylist())
+            weights = np.array([model.word(w) for w in words], dtype=np.float64)
+            if uses is not None:
+                weights = _with_count(batch.column("n_train").to_numpy(), kinds, weights)
             columns = [batch.column(name) for name in ("token", "n", "n_train")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([model.word(w) for w in words], pa.float64())],
+                [*columns, pa.array(weights, pa.float64())],
                 names=["token", "n", "n_train", "weight"],
             )
 
     return counts.mapInArrow(weigh, "token bigint, n bigint, n_train bigint, weight double")
 
 
+def _with_count(count: np.ndarray, kinds: int, spelled: np.ndarray) -> np.ndarray:
+    """log10(count + kinds * 10**spelled), where the latter may be too small for a double."""
+    with np.errstate(divide="ignore"):
+        counted = np.log(np.asarray(count, dtype=np.float64))
+    return np.logaddexp(counted, math.log(kinds) + np.asarray(spelled) * math.log(10)) / math.log(10)
+
+
+def expected_uses(counts: DataFrame, vocabulary: str) -> np.ndarray:
+    """How often the distinct training tokens use each piece, in the vocabulary's order, and each byte."""
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = lattice(vocabulary)
+        place = {piece: k for k, piece in enumerate(model.chance)}
+        uses: dict[str, float] = {}
+        letters: dict[str, float] = {}
+        for batch in batches:
+            for word in batch.column("word").to_pylist():
+                model.add_uses(word.decode("utf-8", "replace"), uses, letters)
+        found = {place[piece]: use for piece, use in uses.items()}
+        for letter, use in letters.items():
+            for b in letter.encode("utf-8", "replace"):
+                found[len(place) + b] = found.get(len(place) + b, 0.0) + use
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(list(found), pa.int32()),
+                pa.array([round(use * _UNIT) for use in found.values()], pa.int64()),
+            ],
+            names=["piece", "uses"],
+        )
+
+    told = counts.filter("n_train > 0").select("word").mapInArrow(expect, "piece int, uses bigint")
+    model = lattice(vocabulary)
+    total = np.zeros(len(model.chance) + 256)
+    # at most a row per piece of the vocabulary
+    for row in told.groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+        total[row["piece"]] = row["uses"] / _UNIT
+    return total
+
+
 DOCUMENT = (
     "doc_id bigint, n_words bigint, known bigint, base double, weight double,"
     " rare array<struct<token: bigint, n: bigint>>"
 )
 
 
-def likelihoods(docs: DataFrame, vocabulary: str = VOCABULARY, head: int = HEAD) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document."""
+def likelihoods(
+    docs: DataFrame, vocabulary: str = VOCABULARY, head: int = HEAD, fitted: bool = False
+) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per document; ``score``
+    is that of the vocabulary's ranks, or with ``fitted`` of the model that the training rows teach."""
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
-    vocabulary_scores(token_counts(docs), vocabulary).write.parquet(path)
+    counts = token_counts(docs)
+    if fitted:
+        counts.write.parquet(path)
+        counts = spark.read.parquet(path)
+    else:
+        vocabulary_scores(counts, vocabulary).write.parquet(path)
     known = spark.read.parquet(path)
     ends = docs.filter(is_training(F.col("doc_id"))).count()
     total, learnt, distinct = known.agg(
         F.sum("n"), F.sum("n_train"), F.count(F.when(F.col("n_train") > 0, 1))
     ).first()
     train_tokens = (learnt or 0) + ends
-    divisor = math.log10(train_tokens + distinct + (ends > 0) + 1)
+    kinds = distinct + (ends > 0) + 1
+    divisor = math.log10(train_tokens + kinds)
+    end, score_divisor = lattice(vocabulary).end, 0.0
+    if fitted:
+        path = new_path(spark, "weighed-tokens")
+        uses = expected_uses(counts, vocabulary)
+        vocabulary_scores(counts, vocabulary, uses, kinds).write.parquet(path)
+        known = spark.read.parquet(path)
+        end, score_divisor = float(_with_count(ends, kinds, end)), divisor
 
     # at most `head` tokens can each make up one in `head`
     frequent = known.filter(F.col("n") * head >= (total or 0)).orderBy("token").toPandas()
@@ -267,5 +427,5 @@ def likelihoods(docs: DataFrame, vocabulary: str = VOCABULARY, head: int = HEAD)
         plus("known", int(ends > 0)).cast("long").alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (plus("base", math.log10(ends + 1)) - n_tokens * divisor).alias("base_score"),
-        plus("weight", lattice(vocabulary).end).alias("score"),
+        (plus("weight", end) - n_tokens * score_divisor).alias("score"),
     )

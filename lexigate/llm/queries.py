@@ -57,7 +57,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice.likelihoods(table(spark, sf_dir, "documents"))
+    return lattice.likelihoods(table(spark, sf_dir, "documents"), fitted=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

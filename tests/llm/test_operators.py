@@ -392,6 +392,58 @@ def test_likelihoods_match_plain_counts(docs):
         assert collected(found, *columns) == sorted(expected, key=repr)
 
 
+def test_fitted_likelihoods_stay_near_the_base_score(docs, spark):
+    """Of rows that taught nothing; by the ranks alone the scores are twice as low and more."""
+    rare = "\U0001f409" * 60
+    rows = [(i, f"common words here {'again ' * (i % 5)}new{i}, {rare if i % 10 == 1 else ''}") for i in range(300)]
+    made = spark.createDataFrame([*rows, (300, None), (301, ""), (None, "common")], "doc_id bigint, text string")
+    found = lattice.likelihoods(made, fitted=True, head=4).collect()
+    assert len(found) == 303 and all(math.isfinite(r.score) and r.score < 0 for r in found)
+    held = [r for r in found if r.held_out]
+    plain = [r for r in held if r.doc_id % 10 != 1]
+    assert sum(r.score for r in plain) > 1.7 * sum(r.base_score for r in plain)
+    ranked = {r.doc_id: r.score for r in lattice.likelihoods(made).collect()}
+    assert sum(ranked[r.doc_id] for r in plain) < 3 * sum(r.base_score for r in plain)
+    other = {r.doc_id: r.score for r in lattice.likelihoods(made.repartition(3), fitted=True).collect()}
+    assert all(other[r.doc_id] == pytest.approx(r.score, rel=1e-9) for r in found)
+
+
+def test_without_training_rows_ranks_remain(spark):
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]
+    made = spark.createDataFrame([(i, "the nation") for i in held], "doc_id bigint, text string")
+    found = lattice.likelihoods(made, fitted=True).collect()
+    ranked = lattice.likelihoods(made).collect()
+    assert sorted(round(r.score, 6) for r in found) == sorted(round(r.score, 6) for r in ranked)
+
+
+def test_expected_uses_are_shares_of_segmentations(monkeypatch):
+    model = lattice.lattice(lattice.VOCABULARY)
+
+    def every(text: str, cut: tuple = ()):
+        if not text:
+            yield cut, 1.0
+        for stop in range(1, len(text) + 1):
+            if (chance := model.chance.get(text[:stop])) is not None:
+                yield from ((c, p * chance) for c, p in every(text[stop:], (*cut, text[:stop])))
+        if text:
+            yield from ((c, p * model._spelled(text[0])) for c, p in every(text[1:], (*cut, text[0].encode())))
+
+    for word in ("nation", "é☃x"):
+        ways = list(every("▁" + word))
+        total, expected = sum(p for _, p in ways), {}
+        for cut, p in ways:
+            for piece in cut:
+                expected[piece] = expected.get(piece, 0) + p / total
+        for short in (lattice.SHORT, 0):
+            monkeypatch.setattr(lattice, "SHORT", short)
+            uses, spelled = {}, {}
+            model.add_uses(word, uses, spelled)
+            found = uses | {letter.encode(): use for letter, use in spelled.items()}
+            assert all(found.get(piece, 0) == pytest.approx(use, abs=1e-8) for piece, use in expected.items())
+            assert sum(found.values()) == pytest.approx(sum(expected.values()), abs=1e-6)
+    assert model.word("x" * 3000) == pytest.approx(model._log_forward("▁" + "x" * 3000)[-1] / math.log(10))
+
+
 def test_lattice_sums_over_all_segmentations():
     model = lattice.lattice(lattice.VOCABULARY)
 
