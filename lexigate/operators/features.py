@@ -3,7 +3,7 @@
 ``TextFeatures.fit(train)`` is the only thing here that learns; ``TextFeaturesModel.transform``
 cannot. Both avoid shuffling the corpus:
 
-* fit: each row emits one entry per token and one per distinct token; a single map-side combined
+* fit: each row emits its tokens and, after them, its distinct ones; a single map-side combined
   ``groupBy(term)`` then has document frequency and corpus count, so only distinct terms move;
 * transform: a map-only step. The vocabulary (at most ``max_features`` terms) is looked up by
   ``CountVectorizerModel``, weights and norm are array expressions within the row.
@@ -29,20 +29,14 @@ MIN_DOCUMENTS = 2
 
 def term_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
     """``(term, df, tf)``: rows that contain the term, and its occurrences."""
-
-    def entry(counts_row: int):
-        return lambda term: F.struct(term.alias("term"), F.lit(counts_row).alias("row"))
-
-    entries = F.concat(
-        F.transform(terms, entry(0)), F.transform(F.array_distinct(terms), entry(1))
-    )
+    # plain strings told apart by position: structs would be built and copied one by one
+    entries = F.concat("__terms", F.array_distinct("__terms"))
+    occurs = F.col("pos") < F.col("__n")
     return (
-        df.select(F.explode(entries).alias("e"))
-        .groupBy(F.col("e.term").alias("term"))
-        .agg(
-            F.sum(F.col("e.row")).alias("df"),
-            F.sum(F.lit(1) - F.col("e.row")).alias("tf"),
-        )
+        df.select(F.col(terms).alias("__terms"), F.size(terms).alias("__n"))
+        .select("__n", F.posexplode(entries).alias("pos", "term"))
+        .groupBy("term")
+        .agg(F.count_if(~occurs).alias("df"), F.count_if(occurs).alias("tf"))
     )
 
 

@@ -44,6 +44,16 @@ def test_vocabulary_by_hand(spark):
     assert weights[0, "red"] == pytest.approx(red / math.sqrt(red**2 + blue**2 + pair**2))
 
 
+def test_terms_are_counted_without_a_struct_for_each(spark):
+    rows = [(["a", "b", "a", "a b"],), (["a"],), ([],), (None,), (["b", None, None],)]
+    data = spark.createDataFrame(rows, "words array<string>")
+    counted = features.term_statistics(data, "words")
+    assert counted.schema.simpleString() == "struct<term:string,df:bigint,tf:bigint>"
+    assert {tuple(r) for r in counted.collect()} == {("a", 2, 3), ("b", 2, 2), ("a b", 1, 1), (None, 1, 2)}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(" in plan and "struct(" not in plan
+
+
 def test_limit_keeps_the_most_frequent_and_breaks_ties_by_term(spark):
     data = frame(spark, ["bb aa cc", "cc bb aa", "cc"])
     model = features.TextFeatures(max_features=2).fit(data)
