@@ -44,7 +44,9 @@ def text_length(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Whitespace-separated words of the raw text."""
-    return F.regexp_count(raw_text(text), F.lit(f"[^{WHITESPACE}]+"))
+    # cut, not counted match by match, which takes six times as long
+    stripped = strip_whitespace(raw_text(text))
+    return F.when(stripped == "", 0).otherwise(F.size(F.split(stripped, f"[{WHITESPACE}]+")))
 
 
 def strip_whitespace(text: Column) -> Column:

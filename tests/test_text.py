@@ -51,6 +51,18 @@ def test_lengths_use_the_raw_text(spark):
     assert rows[4]["review_text_clean"] == "nan"
 
 
+def test_words_are_cut_and_not_matched_one_by_one(spark):
+    spaces = tx.WHITESPACE_CHARACTERS
+    texts = [*(f"{c}a{c}{c}b c{c}" for c in spaces), spaces, f"x{spaces}y\u180e\u200bz", "a" * 9, "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    counted = frame.select("i", tx.word_count(F.col("t")).alias("n"))
+    assert counted.dtypes[1] == ("n", "int")
+    assert dict(counted.collect()) == {i: 1 if t is None else len(t.split()) for i, t in enumerate(texts)}
+    # a match object for each word took most of the time of deriving and scoring
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "regexp_" not in plan
+
+
 def test_source_is_optional_and_the_order_fixed(spark):
     frame = spark.createDataFrame(
         [("a", "x", "s", 1)], "sentiment string, review_text string, source string, extra int"
