@@ -44,9 +44,9 @@ def text_length(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Whitespace-separated words of the raw text."""
-    # cut, not counted match by match, which takes six times as long
-    stripped = strip_whitespace(raw_text(text))
-    return F.when(stripped == "", 0).otherwise(F.size(F.split(stripped, f"[{WHITESPACE}]+")))
+    # cut at single characters: a pattern of all whitespace beside those of clean_text takes three times as long
+    spaced = F.translate(raw_text(text), WHITESPACE_CHARACTERS, " " * len(WHITESPACE_CHARACTERS))
+    return F.size(F.array_remove(F.split(spaced, " "), ""))
 
 
 def strip_whitespace(text: Column) -> Column:

@@ -5,17 +5,22 @@ cannot. Both avoid shuffling the corpus:
 
 * fit: each row emits its tokens and, after them, its distinct ones; a single map-side combined
   ``groupBy(term)`` then has document frequency and corpus count, so only distinct terms move;
-* transform: a map-only step. The vocabulary (at most ``max_features`` terms) is looked up by
-  ``CountVectorizerModel``, weights and norm are array expressions within the row.
+* transform: a map-only step. One Arrow UDF takes the cleaned text, looks up its words and pairs of
+  neighbours in the vocabulary (at most ``max_features`` terms) and returns the vector; a row's terms,
+  of which there are many more than entries, are never a column.
 """
 
 from __future__ import annotations
 
 import json
+import math
+from collections import Counter
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -213,47 +218,24 @@ class TextFeaturesModel(Model):
             self.scaler, "column string, mean double, scale double"
         )
 
-    def _with_weights(self, df: DataFrame) -> DataFrame:
-        """Add ``__idx`` and ``__weights``: the non-zero TF-IDF entries, unit length."""
-        ready = df
+    def _clean(self, df: DataFrame) -> Column:
+        """The cleaned text, which is made of the raw one if there is no column of it."""
         clean = f"{self.text_column}_clean"
-        if clean not in df.columns:
-            if self.text_column not in df.columns:
-                raise ValueError(f"The rows have no text column {self.text_column}; rename yours or set text_column")
-            ready = df.withColumn(clean, tx.clean_text(F.col(self.text_column)))
-        counted = CountVectorizerModel.from_vocabulary(
-            self.terms, inputCol="terms", outputCol="__counts"
-        ).transform(with_terms(ready, self.text_column))
-        if clean not in df.columns:
-            counted = counted.drop(clean)
-        # one literal instead of max_features ones
-        idf_values = F.from_json(F.lit(json.dumps(self.idf)), "array<double>")
-        weighted = counted.withColumn("__sparse", F.unwrap_udt("__counts")).withColumn(
-            "__raw",
-            F.zip_with(
-                F.col("__sparse.indices"),
-                F.col("__sparse.values"),
-                lambda i, count: (1.0 + F.log(count)) * F.get(idf_values, i),
-            ),
-        )
-        norm = F.sqrt(F.aggregate("__raw", F.lit(0.0), lambda acc, w: acc + w * w))
-        # the norm goes in as an array so that it is computed once per row, not per entry
-        unit = F.zip_with(
-            "__raw", F.array_repeat(norm, F.size("__raw")), lambda w, length: w / length
-        )
-        return (
-            weighted.withColumn("__idx", F.col("__sparse.indices"))
-            .withColumn("__weights", unit)
-            .drop("terms", "__counts", "__sparse", "__raw")
-        )
+        if clean in df.columns:
+            return F.col(clean).cast("string")
+        if self.text_column not in df.columns:
+            raise ValueError(f"The rows have no text column {self.text_column}; rename yours or set text_column")
+        return tx.clean_text(F.col(self.text_column))
 
     def weights(self, df: DataFrame, id_column: str = "row_id") -> DataFrame:
         """Long form ``(id, term, weight)`` of the TF-IDF part; unknown terms have no row."""
         terms = F.from_json(F.lit(json.dumps(self.terms)), "array<string>")
-        entries = F.arrays_zip(F.col("__idx").alias("idx"), F.col("__weights").alias("weight"))
+        found = df.select(id_column, _weighted(self.terms, self.idf)(self._clean(df)).alias("__found"))
+        entries = F.arrays_zip(
+            F.col("__found.indices").alias("idx"), F.col("__found.values").alias("weight")
+        )
         return (
-            self._with_weights(df)
-            .select(id_column, F.explode(entries).alias("e"))
+            found.select(id_column, F.explode(entries).alias("e"))
             .select(id_column, F.get(terms, F.col("e.idx")).alias("term"), "e.weight")
         )
 
@@ -261,15 +243,9 @@ class TextFeaturesModel(Model):
         missing = [name for name in self.numeric if name not in dataset.columns]
         if missing:
             raise ValueError(f"These numeric columns were there at the fit and are not now: {missing}; derive them first")
-        out = self._with_weights(dataset)
-        offset = len(self.terms)
-        indices, values = F.col("__idx"), F.col("__weights")
-        if self.scaler:
-            indices = F.concat(indices, F.array(*[F.lit(offset + i) for i in range(len(self.scaler))]))
-            values = F.concat(values, F.array(*[scale_column(*column) for column in self.scaler]))
-        return out.withColumn("features", _sparse_vector(self.dimension)(indices, values)).drop(
-            "__idx", "__weights"
-        )
+        scaled = [scale_column(*column) for column in self.scaler]
+        vector = _weighted(self.terms, self.idf, len(scaled))
+        return dataset.withColumn("features", vector(self._clean(dataset), *scaled))
 
     def save(self, path: str, spark: SparkSession) -> None:
         """Write the fitted state as two tables and a metadata record."""
@@ -314,16 +290,46 @@ class TextFeaturesModel(Model):
         return model
 
 
-def _sparse_vector(size: int):
-    """Arrow UDF that wraps index and value arrays into a vector, which Spark has no built-in for.
+@lru_cache(maxsize=1)
+def _logarithms() -> list[float]:
+    """Of small counts, by the library that Spark's own ``log`` uses: vectors agree in every bit."""
+    log = SparkContext.getOrCreate()._jvm.java.lang.StrictMath.log
+    return [-math.inf, *(log(float(n)) for n in range(1, 256))]
+
+
+def _weighted(terms: list[str], idf_values: list[float], numbers: int | None = None):
+    """Arrow UDF from cleaned text to its non-zero TF-IDF entries, unit length, by place.
 
+    With a count of ``numbers`` these follow as further columns, and the result is the vector of all.
     Defined inside a function so that it ships by value and executors need no package.
     """
-    def build(indices: pd.Series, values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"type": 0, "size": size, "indices": indices, "values": values}
-        )
-
+    size, logs = len(terms) + (numbers or 0), _logarithms()
+
+    def build(clean: pd.Series, *scaled: pd.Series) -> pd.DataFrame:
+        words = {term: i for i, term in enumerate(terms) if " " not in term}
+        pairs = {tuple(term.split(" ")): i for i, term in enumerate(terms) if term.count(" ") == 1}
+        weigh = np.array(idf_values)
+        tail = np.arange(len(terms), size, dtype=np.int32)
+        numeric = np.stack([s.to_numpy(np.float64) for s in scaled], axis=1) if scaled else None
+        indices, values = [], []
+        for row, text in enumerate(clean):
+            found = [word for word in text.split(" ") if len(word) >= 2]
+            counts = Counter(map(words.get, found))
+            counts.update(map(pairs.get, zip(found, found[1:])))
+            counts.pop(None, None)
+            places = np.array(sorted(counts), dtype=np.int32)
+            times = [counts[i] for i in places.tolist()]
+            raw = (1.0 + np.array([logs[n] if n < len(logs) else math.log(n) for n in times])) * weigh[places]
+            if len(raw):
+                # added up in order of place
+                raw /= math.sqrt(np.cumsum(raw * raw)[-1])
+            indices.append(np.concatenate([places, tail]))
+            values.append(raw if numeric is None else np.concatenate([raw, numeric[row]]))
+        found = {"indices": indices, "values": values}
+        return pd.DataFrame(found if numbers is None else {"type": 0, "size": size, **found})
+
+    if numbers is None:
+        return F.pandas_udf(build, "indices array<int>, values array<double>")
     return F.pandas_udf(build, VectorUDT())
 
 

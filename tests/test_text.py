@@ -91,3 +91,9 @@ def test_raw_tokens_strip_accents_and_keep_word_characters(spark):
 def test_missing_text_column_is_an_error(spark):
     with pytest.raises(ValueError, match="review_text"):
         token_column(spark.range(1), "review_text")
+
+
+def test_words_are_counted_without_a_pattern(spark):
+    plan = spark.createDataFrame([("a b",)], "t string").select(tx.word_count(F.col("t")))
+    # two patterns of many characters in one projection slow each other down
+    assert tx.WHITESPACE not in plan._jdf.queryExecution().executedPlan().toString()
